@@ -6,7 +6,7 @@ engines must start from the same copies.
 
 from __future__ import annotations
 
-from feedarb.plans.settings import OBSERVE, STALL, TOPIC_PARTITIONS
+from feedarb.plans.settings import OBSERVE
 from feedarb.sources import derived as d
 
 G = "stream_type, symbol"
@@ -76,12 +76,12 @@ gates as (
   from sightings group by all)"""
 
 
-def _tick(expr: str) -> str:
+def tick(expr: str) -> str:
     return f"(({expr}) + (1000000::BIGINT - ({expr}) % 1000000) % 1000000)"
 
 
 OBS_W = f"{int(OBSERVE.window_seconds)}::BIGINT * 1000000"
-W1 = _tick(f"open_us + {OBS_W}")
+W1 = tick(f"open_us + {OBS_W}")
 
 
 def window_of(at: str) -> str:
@@ -126,10 +126,10 @@ wins as (select r.stream_type, r.symbol, r.source_id, count(f.msg_key) as wins
 {verdict_select('wins', G, 100)}"""
 
 
-def oracle_sql() -> dict[str, str]:
+def arbitration_sql() -> dict[str, str]:
     n, lag = OBSERVE.expected_sources, OBSERVE.lag
     first_life = f"with {feed()}, {FIRSTS}, {evicted(n, lag)}"
-    sql = {
+    return {
         "slowest_source": SLOWEST,
         "arbitrated_feed": f"""with {feed()}, {FIRSTS}
 select f.stream_type, f.symbol, f.msg_key, c.source_id, c.seq_offset, c.arr_us, c.value
@@ -176,4 +176,3 @@ from snaps s join roster r on r.stream_type = s.stream_type and r.symbol = s.sym
     and c.window_no = s.window_no and c.n <= s.n and c.winner = r.source_id
 group by all""",
     }
-    return sql

@@ -7,9 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedarb.operators import arbitrate, tally, windows
-from feedarb.plans.settings import OBSERVE
+from feedarb.functions import keys
+from feedarb.functions.identity import instance_of_provider, ip_of_node_name, node_identity
+from feedarb.operators import (
+    arbitrate,
+    audit,
+    ingest,
+    recorded,
+    removal,
+    rollups,
+    tally,
+    windows,
+)
+from feedarb.plans.settings import AUDIT_PARTITIONS, OBSERVE, REMOVAL, STALL, TOPIC_PARTITIONS
+from feedarb.plans.storage import durable
 from feedarb.sources import derived
+from feedarb.sources.catalogue import stream_catalogue
 from feedarb.sources.landing import GROUP
 
 Report = Callable[[SparkSession, str], DataFrame]
@@ -101,21 +114,311 @@ def running_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tally.running_tallies(credit, sources, OBSERVE)
 
 
+def raw_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.validate_raw(derived.raw_copies(spark, sf_dir)).select(
+        *KEY, "source_id", F.col("offset").alias("seq_offset"), "drop_reason"
+    )
+
+
+def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captured = derived.captured_lines(spark, sf_dir)
+    return ingest.shape_captured(captured, stream_catalogue(spark)).select(
+        "event_id", *KEY, "drop_reason"
+    )
+
+
+def dropped_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = ingest.validate_raw(derived.raw_copies(spark, sf_dir))
+    captured = derived.captured_lines(spark, sf_dir)
+    return ingest.dropped_by_reason(
+        raw, ingest.shape_captured(captured, stream_catalogue(spark))
+    )
+
+
+def parsed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("msg_key")
+    return derived.written_keys(spark, sf_dir).select(
+        "event_id",
+        keys.key_prefix(key).alias("key_prefix"),
+        keys.key_event_id(key).alias("key_event_id"),
+        keys.key_is_malformed(key).alias("malformed"),
+    )
+
+
+def topic_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Placement of every (market segment, customer) pair taken as stream and symbol."""
+    pairs = derived.table(spark, sf_dir, "customer")
+    stream, symbol = F.col("c_mktsegment"), F.col("c_name")
+    return pairs.select(
+        "c_custkey",
+        keys.topic_partition(stream, symbol, TOPIC_PARTITIONS).alias("partition_6"),
+        keys.topic_partition(stream, symbol, 1000).alias("partition_1000"),
+    )
+
+
+def audit_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = derived.table(spark, sf_dir, "events")
+    stream = F.expr(derived.CAPTURED_STREAM)
+    return events.select(
+        "event_id",
+        keys.audit_partition(stream, AUDIT_PARTITIONS).alias("partition_3"),
+        keys.audit_partition(stream, 2).alias("partition_2"),
+    )
+
+
+def tumbling_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    firsts = arbitrate.first_copies(derived.copies(spark, sf_dir)).withColumnRenamed(
+        "source_id", "winner"
+    )
+    return rollups.tumbling_leaderboard(firsts, "1 day")
+
+
+def ignore_filtered_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = recorded.ignored_from(derived.retirements(spark, sf_dir))
+    feed = arbitrate.drop_ignored(derived.copies(spark, sf_dir), gone)
+    return arbitrate.first_copies(feed, ("source_id", "arr_us"))
+
+
+def gate_closures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recorded.gate_closures(
+        derived.copies(spark, sf_dir), derived.retirements(spark, sf_dir), STALL
+    )
+
+
+def gate_stalls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = derived.copies(spark, sf_dir)
+    named = derived.retirements(spark, sf_dir)
+    gone = recorded.ignored_from(named)
+    closures = recorded.gate_closures(feed, named, STALL)
+    sightings = windows.roster(arbitrate.drop_ignored(feed, gone))
+    return windows.stall_warnings(closures, sightings, gone, STALL).withColumn(
+        "ignored_sources", F.array_join("ignored_sources", ",")
+    )
+
+
+def feed_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = recorded.ignored_from(derived.retirements(spark, sf_dir))
+    return rollups.feed_counters(arbitrate.flag_ignored(derived.copies(spark, sf_dir), gone))
+
+
+def audit_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window verdicts as they would be written to the audit log."""
+    wins = durable(window_wins(spark, sf_dir), "wins")
+    window = [*GROUP, "window_no"]
+    sources = windows.roster(derived.copies(spark, sf_dir, redelivery=False))
+    gates = windows.gate_opening(sources, OBSERVE.expected_sources)
+    messages = (
+        tally.verdicts(wins, window, OBSERVE.minimum_events)
+        .join(tally.counts_map(wins, window), window)
+        .join(windows.observe_windows(gates, OBSERVE), window)
+        .withColumns(
+            {
+                "window_start": audit.wire_seconds(F.col("window_start_us")),
+                "window_end": audit.wire_seconds(F.col("window_end_us")),
+            }
+        )
+    )
+    return audit.encode(messages, "verdict", AUDIT_PARTITIONS).select(
+        F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"),
+        "partition",
+    )
+
+
+def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.decode(derived.audit_log(spark, sf_dir).select("partition", "offset", "value"))
+
+
+def audit_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _decoded(spark, sf_dir).select(
+        "partition",
+        "offset",
+        "decode_status",
+        "message_type",
+        *GROUP,
+        "slowest_source_id",
+        "source_id",
+        "instance_id",
+        "window_end",
+        "emitted_at",
+        "terminated_at",
+        F.col("counts")["a"].alias("count_a"),
+        F.col("counts")["b"].alias("count_b"),
+        "total_events",
+        "sources_seen",
+        "sources_confirmed",
+        F.array_join("ignored_sources", ",").alias("ignored_sources"),
+        "reason",
+        "correlation_id",
+        "is_actionable",
+    )
+
+
+def audit_order_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.confirmations_before_verdict(_decoded(spark, sf_dir))
+
+
+def audit_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.audit_traffic(_decoded(spark, sf_dir))
+
+
+def verdict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.verdict_counts(_decoded(spark, sf_dir))
+
+
+def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.audit_counts(_decoded(spark, sf_dir))
+
+
+def last_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.last_removal(_decoded(spark, sf_dir))
+
+
+def node_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    provider, name = F.col("provider_id"), F.col("name")
+    return derived.nodes(spark, sf_dir).select(
+        "name",
+        instance_of_provider(provider).alias("provider_instance"),
+        ip_of_node_name(name).alias("name_ip"),
+        node_identity(provider, name)["private_ip"].alias("lookup_ip"),
+    )
+
+
+def _actions(spark: SparkSession, sf_dir: str, decoded: DataFrame) -> DataFrame:
+    """Actions with earlier successful removals taken into account.
+
+    A removal counts as handled only if it was attempted at all, that is if the
+    node could be removed.
+    """
+    ready = removal.inventory(
+        derived.nodes(spark, sf_dir), derived.instances(spark, sf_dir), REMOVAL
+    ).where(F.col("label_problem").isNull() & (F.col("identified_by") != "unidentifiable"))
+    tried = derived.removal_outcomes(spark, sf_dir).join(
+        ready.select(F.col("node_name").alias("source_id")), "source_id", "left_semi"
+    )
+    return removal.verdict_actions(decoded, removal.handled_sources(tried))
+
+
+def verdict_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _actions(spark, sf_dir, _decoded(spark, sf_dir)).select(
+        "partition", "offset", "act", "action_reason"
+    )
+
+
+def _plan(spark: SparkSession, sf_dir: str, decoded: DataFrame) -> DataFrame:
+    return removal.removal_plan(
+        _actions(spark, sf_dir, decoded),
+        derived.nodes(spark, sf_dir),
+        derived.instances(spark, sf_dir),
+        REMOVAL,
+    )
+
+
+def removal_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plan(spark, sf_dir, _decoded(spark, sf_dir)).select(
+        "partition",
+        "offset",
+        *GROUP,
+        "source_id",
+        "planned_action",
+        "label_problem",
+        "private_ip",
+        "instance_id",
+        "identified_by",
+    )
+
+
+def confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = _plan(spark, sf_dir, _decoded(spark, sf_dir))
+    settled = removal.with_outcomes(plan, derived.removal_outcomes(spark, sf_dir))
+    return removal.confirmations(settled)
+
+
+def removal_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = durable(_plan(spark, sf_dir, _decoded(spark, sf_dir)), "plan")
+    settled = removal.with_outcomes(plan, derived.removal_outcomes(spark, sf_dir))
+    return rollups.removal_counters(plan, settled)
+
+
+def kill_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = durable(_decoded(spark, sf_dir), "decoded")
+    return removal.reconcile(
+        removal.match_confirmations(decoded), _plan(spark, sf_dir, decoded)
+    )
+
+
+def confirm_latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matched = removal.match_confirmations(durable(_decoded(spark, sf_dir), "decoded"))
+    waited = F.col("confirmed_at") - F.col("window_end")
+    # Log times are days apart in the derived feed; a minute here stands for a day.
+    return rollups.duration_histogram(
+        matched.where(F.col("confirmed_offset").isNotNull()), waited / F.lit(1440.0), GROUP
+    )
+
+
+def verdict_recheck(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded verdicts recomputed: each group's log up to its first named source."""
+    wins = durable(window_wins(spark, sf_dir), "wins")
+    window = [*GROUP, "window_no"]
+    feed = derived.copies(spark, sf_dir, redelivery=False)
+    gates = windows.gate_opening(windows.roster(feed), OBSERVE.expected_sources)
+    said = durable(
+        tally.verdicts(wins, window, OBSERVE.minimum_events).join(
+            windows.observe_windows(gates, OBSERVE), window
+        ),
+        "verdicts",
+    )
+    first_named = (
+        said.where(F.col("slowest_source_id").isNotNull())
+        .groupBy(*GROUP)
+        .agg(F.min("window_no").alias("_last"))
+    )
+    log = said.join(first_named, [*GROUP], "left").where(
+        F.coalesce(F.col("window_no") <= F.col("_last"), F.lit(True))
+    )
+    return recorded.recheck_verdicts(feed, durable(log, "log"), None, OBSERVE)
+
+
 def queries() -> dict[str, Report]:
-    listed = [
-        slowest_source,
-        arbitrated_feed,
-        copy_classification,
-        arrival_ranks,
-        arrival_lag_by_source,
-        copies_seen_per_key,
-        evictions,
-        readmission_certificate,
-        pending_entries,
-        gate_opening,
-        observe_windows,
-        window_wins,
-        window_verdicts,
-        running_tallies,
-    ]
-    return {report.__name__: report for report in listed}
+    return {
+        "slowest_source": slowest_source,
+        "arbitrated_feed": arbitrated_feed,
+        "copy_classification": copy_classification,
+        "arrival_ranks": arrival_ranks,
+        "arrival_lag_by_source": arrival_lag_by_source,
+        "copies_seen_per_key": copies_seen_per_key,
+        "evictions": evictions,
+        "readmission_certificate": readmission_certificate,
+        "pending_entries": pending_entries,
+        "raw_validation": raw_validation,
+        "dropped_by_reason": dropped_by_reason,
+        "message_keys": message_keys,
+        "parsed_keys": parsed_keys,
+        "topic_partition": topic_partition,
+        "audit_partition": audit_partition,
+        "gate_opening": gate_opening,
+        "observe_windows": observe_windows,
+        "window_wins": window_wins,
+        "window_verdicts": window_verdicts,
+        "running_tallies": running_tallies,
+        "tumbling_leaderboard": tumbling_leaderboard,
+        "ignore_filtered_feed": ignore_filtered_feed,
+        "gate_closures": gate_closures,
+        "gate_stalls": gate_stalls,
+        "audit_encoded": audit_encoded,
+        "audit_decoded": audit_decoded,
+        "audit_order_check": audit_order_check,
+        "verdict_actions": verdict_actions,
+        "node_identity": node_identities,
+        "removal_plan": removal_plan,
+        "confirmations": confirmations,
+        "kill_reconciliation": kill_reconciliation,
+        "feed_counters": feed_counters,
+        "audit_traffic": audit_traffic,
+        "verdict_counts": verdict_counts,
+        "audit_counts": audit_counts,
+        "removal_counters": removal_counters,
+        "confirm_latency_histogram": confirm_latency_histogram,
+        "last_removal": last_removal,
+        "verdict_recheck": verdict_recheck,
+    }

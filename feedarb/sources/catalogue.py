@@ -13,12 +13,16 @@ STREAMS = (
 )
 
 
-def stream_catalogue(spark: SparkSession, extra: tuple[tuple[str, str, str, str], ...] = ()) -> DataFrame:
+def stream_catalogue(
+    spark: SparkSession, extra: tuple[tuple[str, str, str, str], ...] = ()
+) -> DataFrame:
     """The known streams; a new feed is one more row."""
-    return spark.createDataFrame(
-        [*STREAMS, *extra],
-        "stream_type string, exchange_name string, key_prefix string, id_field string",
-    )
+    names = ("stream_type", "exchange_name", "key_prefix", "id_field")
+    rows = [
+        F.struct(*[F.lit(text).alias(name) for name, text in zip(names, row)])
+        for row in (*STREAMS, *extra)
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def with_catalogue(df: DataFrame, catalogue: DataFrame) -> DataFrame:

@@ -72,11 +72,14 @@ def main() -> None:
         if len(sys.argv) > 2 and name not in sys.argv[2:]:
             continue
         start = time.time()
-        if name in sql:
-            problem = compare(spark, sf_dir, query, sql[name])
-            status = "ok" if problem is None else f"DIFFERS {problem}"
-        else:
-            status = f"rows only: {query(spark, sf_dir).count()}"
+        try:
+            if name in sql:
+                problem = compare(spark, sf_dir, query, sql[name])
+                status = "ok" if problem is None else f"DIFFERS {problem}"
+            else:
+                status = f"rows only: {query(spark, sf_dir).count()}"
+        except Exception as error:
+            status = f"FAILS {str(error)[:600]}"
         print(f"{name:28s} {time.time() - start:6.1f}s  {status}", flush=True)
 
 
