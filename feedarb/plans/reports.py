@@ -24,6 +24,8 @@ from feedarb.plans.storage import durable
 from feedarb.sources import derived
 from feedarb.sources.catalogue import stream_catalogue
 from feedarb.sources.landing import GROUP
+from feedarb.streaming.replay import replay
+from feedarb.streaming.replay import state_snapshot as snapshot
 
 Report = Callable[[SparkSession, str], DataFrame]
 KEY = arbitrate.KEY
@@ -379,6 +381,32 @@ def verdict_recheck(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recorded.recheck_verdicts(feed, durable(log, "log"), None, OBSERVE)
 
 
+def arbitration_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closed loop over the whole feed: verdicts, tallies and warnings it emits."""
+    feed = derived.copies(spark, sf_dir).drop("value")
+    return replay(feed, OBSERVE).where(~F.col("kind").isin("forwarded", "state")).select(
+        *GROUP,
+        "kind",
+        "at_us",
+        "window_start_us",
+        "slowest_source_id",
+        "total_events",
+        "sources_seen",
+        "reason",
+        "stalled_for_us",
+    )
+
+
+def state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the closed loop stands at the end of the feed."""
+    messages = replay(derived.copies(spark, sf_dir).drop("value"), OBSERVE)
+    counts = F.transform(
+        F.array_sort(F.map_entries("counts")),
+        lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")),
+    )
+    return snapshot(messages).withColumn("counts", F.array_join(counts, ","))
+
+
 def queries() -> dict[str, Report]:
     return {
         "slowest_source": slowest_source,
@@ -421,4 +449,6 @@ def queries() -> dict[str, Report]:
         "confirm_latency_histogram": confirm_latency_histogram,
         "last_removal": last_removal,
         "verdict_recheck": verdict_recheck,
+        "arbitration_replay": arbitration_replay,
+        "state_snapshot": state_snapshot,
     }
