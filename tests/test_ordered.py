@@ -1,0 +1,57 @@
+"""Blockwise running operators against plain pandas, with tiny blocks."""
+
+from __future__ import annotations
+
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from feedarb.plans.ordered import next_marked, nth_next, running_number, running_sum
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(5)
+    data = []
+    for group in ("a", "b", "c"):
+        for order in sorted(rng.sample(range(400), 90)):
+            data.append((group, order, rng.randint(-3, 9), rng.random() < 0.1))
+    return pd.DataFrame(data, columns=["g", "o", "v", "m"])
+
+
+@pytest.mark.parametrize("width", [1, 7, 64, 1 << 20])
+def test_running_sum_and_number(spark, rows, width):
+    df = spark.createDataFrame(rows)
+    got = running_number(
+        running_sum(df, ["g"], "o", F.col("v"), "total", width), ["g"], "o", "n", width
+    )
+    got = got.toPandas().sort_values(["g", "o"]).reset_index(drop=True)
+    want = rows.sort_values(["g", "o"]).reset_index(drop=True)
+    assert got["total"].tolist() == want.groupby("g")["v"].cumsum().tolist()
+    assert got["n"].tolist() == (want.groupby("g").cumcount() + 1).tolist()
+
+
+@pytest.mark.parametrize("width", [2, 9, 1 << 20])
+def test_nth_next(spark, rows, width):
+    df = running_number(spark.createDataFrame(rows), ["g"], "o", "n", 16)
+    got = nth_next(df, ["g"], "n", [1, 5], ["o", "v"], width)
+    got = got.toPandas().sort_values(["g", "o"]).reset_index(drop=True)
+    want = rows.sort_values(["g", "o"])
+    for step in (1, 5):
+        for value in ("o", "v"):
+            shifted = want.groupby("g")[value].shift(-step).reset_index(drop=True)
+            assert got[f"{value}_after_{step}"].astype(float).fillna(-99).tolist() == (
+                shifted.fillna(-99).tolist()
+            )
+    assert len(got) == len(rows)
+
+
+@pytest.mark.parametrize("width", [1, 10, 1 << 20])
+def test_next_marked(spark, rows, width):
+    got = next_marked(spark.createDataFrame(rows), ["g"], "o", F.col("m"), "next", width)
+    got = {(r.g, r.o): r.next for r in got.collect()}
+    for g, o in zip(rows["g"], rows["o"]):
+        later = rows[(rows["g"] == g) & (rows["o"] > o) & rows["m"]]["o"]
+        assert got[(g, o)] == (None if later.empty else int(later.min()))
