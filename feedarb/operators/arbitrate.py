@@ -19,7 +19,8 @@ from feedarb.plans.ordered import BLOCK_WIDTH, nth_next, running_number
 from feedarb.plans.storage import durable
 from feedarb.sources.landing import GROUP
 
-KEY = (*GROUP, "msg_key")
+# The key first: it tells rows apart early wherever they are sorted.
+KEY = ("msg_key", *GROUP)
 
 
 def first_copies(copies: DataFrame, carry: Sequence[str] = ("source_id", "arr_us")) -> DataFrame:
@@ -125,13 +126,14 @@ def copies_per_event(copies: DataFrame) -> DataFrame:
 
 
 def event_records(copies: DataFrame, expected_sources: int) -> DataFrame:
-    """One row per event: its first ``expected_sources + 1`` distinct sources in order.
+    """One row per event: winner and the first offsets of its earliest sources.
 
     Only a source not yet counted moves an event towards completion, so repeats
-    collapse to (first, last) offset per source before anything is gathered.  The
-    row-number filter keeps that many sources per event on both sides of the
-    shuffle.  One source beyond completion is enough to prove a later copy; with
-    fewer sources than that, every source of the event is in the list.
+    collapse to (first, last) offset per source before sources are put in order.
+    The row-number filter keeps ``expected_sources + 1`` of them per event on both
+    sides of the shuffle; the windows after it reuse its partitioning and order.
+    ``last_o`` is the last copy of those sources: one source beyond completion is
+    enough to prove a later copy, and with fewer sources none is missing.
     """
     per_source = copies.groupBy(*KEY, "source_id").agg(
         F.min("seq_offset").alias("o"),
@@ -139,22 +141,23 @@ def event_records(copies: DataFrame, expected_sources: int) -> DataFrame:
         F.max("seq_offset").alias("last_o"),
     )
     in_order = W.partitionBy(*KEY).orderBy("o")
+    earliest = per_source.withColumn("_nth", F.row_number().over(in_order)).where(
+        F.col("_nth") <= expected_sources + 1
+    )
+    following = [F.lead("o", i).over(in_order) for i in range(1, expected_sources)]
     return (
-        per_source.withColumn("_nth", F.row_number().over(in_order))
-        .where(F.col("_nth") <= expected_sources + 1)
-        .groupBy(*KEY)
-        .agg(
-            F.array_sort(F.collect_list(F.struct("o", "source_id", "at_us", "last_o"))).alias(
-                "seen"
-            )
-        )
-        .withColumns(
-            {
-                "winner": F.col("seen")[0]["source_id"],
-                "first_offset": F.col("seen")[0]["o"],
-                "first_us": F.col("seen")[0]["at_us"],
-            }
+        earliest.select(
+            *KEY,
+            "_nth",
+            F.col("source_id").alias("winner"),
+            F.col("o").alias("first_offset"),
+            F.col("at_us").alias("first_us"),
+            F.array("o", *following).alias("early"),
+            F.lead("at_us", expected_sources - 1).over(in_order).alias("complete_us"),
+            F.max("last_o").over(in_order.rowsBetween(0, expected_sources)).alias("last_o"),
         )
+        .where(F.col("_nth") == 1)
+        .drop("_nth")
     )
 
 
@@ -182,12 +185,10 @@ def evictions(
     aged = nth_next(
         numbered, GROUP, "admitted_seq", lags, ("first_offset", "first_us"), width
     )
-    completing = F.get(F.col("seen"), F.lit(expected - 1))
     return (
         aged.withColumns(
             {
-                "_complete_o": completing["o"],
-                "_complete_us": completing["at_us"],
+                "_complete_o": F.col("early")[expected - 1],
                 "_stale_o": _by_lag(params, "first_offset"),
                 "_stale_us": _by_lag(params, "first_us"),
             }
@@ -207,20 +208,14 @@ def evictions(
             "first_us",
             "admitted_seq",
             "evict_offset",
-            F.when(F.col("complete"), F.col("_complete_us"))
+            F.when(F.col("complete"), F.col("complete_us"))
             .otherwise(F.col("_stale_us"))
             .alias("evict_us"),
             "complete",
-            F.size(
-                F.filter("seen", lambda c: c["o"] <= F.coalesce("evict_offset", c["o"]))
-            ).alias("copies_seen"),
-            F.coalesce(
-                F.exists(
-                    "seen",
-                    lambda c: F.greatest(c["o"], c["last_o"]) > F.col("evict_offset"),
-                ),
-                F.lit(False),
-            ).alias("late_copy"),
+            F.size(F.filter("early", lambda o: o <= F.coalesce("evict_offset", o))).alias(
+                "copies_seen"
+            ),
+            F.coalesce(F.col("last_o") > F.col("evict_offset"), F.lit(False)).alias("late_copy"),
         )
     )
 

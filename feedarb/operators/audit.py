@@ -133,6 +133,10 @@ def _status() -> Column:
     )
 
 
+def _computed_once(**columns: Column) -> Column:
+    return F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+
+
 def decode(log: DataFrame) -> DataFrame:
     """Classify and parse log messages (``value`` bytes; other columns are kept).
 
@@ -141,28 +145,35 @@ def decode(log: DataFrame) -> DataFrame:
     """
     ok = F.col("decode_status") == "ok"
     schema = ", ".join(f"{name} {dtype}" for name, dtype in _MEMBERS.items())
-    # Each step parses once; the next steps only look at what it found.
-    read = (
-        log.withColumn("_text", F.try_validate_utf8(F.col("value").cast("string")))
-        .withColumns(
-            {
-                "_parsed": parse_whole(F.col("_text")),
-                "_keys": F.json_object_keys("_text"),
-            }
-        )
-        .withColumns(
-            {
-                "_kind": F.try_variant_get("_parsed", "$.v.type", "string"),
-                "_version": F.try_variant_get("_parsed", "$.v.schema_version", "string"),
-                "_type_kind": member_kind(F.col("_parsed"), "type"),
-                "_version_kind": member_kind(F.col("_parsed"), "schema_version"),
-                "_counts_kind": member_kind(F.col("_parsed"), "counts"),
-                "_ignored_kind": member_kind(F.col("_parsed"), "ignored_sources"),
-            }
-        )
-        .withColumn("decode_status", _status())
-        .withColumn("message_type", F.when(ok, F.col("_kind")))
-        .withColumn("_body", F.when(ok, F.from_json("_text", schema)))
+    text, parsed = F.col("_text"), F.col("_parsed")
+    # Each step parses once and hands on what it found.  The one-row generators keep
+    # later filters from repeating a step's expressions.
+    found = log.withColumn("_text", F.try_validate_utf8(F.col("value").cast("string"))).select(
+        *log.columns,
+        "_text",
+        _computed_once(_parsed=parse_whole(text), _keys=F.json_object_keys(text)),
+    )
+    kinds = found.select(
+        *log.columns,
+        "_text",
+        "_parsed",
+        "_keys",
+        _computed_once(
+            _kind=F.try_variant_get(parsed, "$.v.type", "string"),
+            _version=F.try_variant_get(parsed, "$.v.schema_version", "string"),
+            _type_kind=member_kind(parsed, "type"),
+            _version_kind=member_kind(parsed, "schema_version"),
+            _counts_kind=member_kind(parsed, "counts"),
+            _ignored_kind=member_kind(parsed, "ignored_sources"),
+        ),
+    )
+    read = kinds.select(
+        *log.columns, "_text", "_kind", _computed_once(decode_status=_status())
+    ).select(
+        *log.columns,
+        "decode_status",
+        F.when(ok, F.col("_kind")).alias("message_type"),
+        _computed_once(_body=F.when(ok, F.from_json(text, schema))),
     )
     return read.select(
         *log.columns,

@@ -38,19 +38,18 @@ def ignored_from(named: DataFrame, confirmed: DataFrame | None = None) -> DataFr
 
 
 def gate_closures(
-    copies: DataFrame, named: DataFrame, params: ArbitrationParams
+    feed: DataFrame, sightings: DataFrame, named: DataFrame, params: ArbitrationParams
 ) -> DataFrame:
     """(group, closed_us, until_us) for the cold start and every naming verdict.
 
+    ``feed`` holds the copies without ignored ones, ``sightings`` its roster.
+
     The fleet is a running count: +1 when a source is first seen, -1 when a seen
     source is named.  The gate reopens with the sighting that restores the count,
     or with the next copy if naming left enough sources.  Fleet changes number as
     many as machines; copies are only aggregated.
     """
-    gone = ignored_from(named)
-    feed = drop_ignored(copies, gone)
-    sightings = roster(feed)
-    first_named = gone.groupBy(*GROUP, "source_id").agg(F.min("from_us").alias("at_us"))
+    first_named = ignored_from(named).groupBy(*GROUP, "source_id").agg(F.min("from_us").alias("at_us"))
     closing = first_named.join(
         sightings.select(*GROUP, "source_id", "first_us"), [*GROUP, "source_id"], "left"
     ).select(
@@ -186,7 +185,7 @@ def recorded_wins(
     """
     gone = ignored_from(recorded, confirmed)
     feed = drop_ignored(copies, gone)
-    sources = roster(feed)
+    sources = durable(roster(feed), "roster")
     windows = recorded.select(*WINDOW)
     after_close = recorded.where(F.col("slowest_source_id").isNull()).select(
         *GROUP, F.col("window_end_us").alias("window_start_us"), F.lit(True).alias("_follows")

@@ -31,28 +31,22 @@ def roster(copies: DataFrame) -> DataFrame:
 
 
 def gate_opening(sources: DataFrame, expected_sources: int) -> DataFrame:
-    """Per group: first arrival, gate opening (null if never) and last arrival."""
+    """Per group: first arrival, gate opening (null if never) and last arrival.
+
+    ``sources`` is a roster, one row per machine.
+    """
     in_order = W.partitionBy(*GROUP).orderBy("first_offset")
-    needed = (
+    opening = F.col("_nth") == expected_sources
+    return (
         sources.withColumn("_nth", F.row_number().over(in_order))
-        .where(F.col("_nth") <= expected_sources)
         .groupBy(*GROUP)
         .agg(
-            F.count("*").alias("_n"),
-            F.min("first_us").alias("started_us"),
-            F.max("first_offset").alias("_offset"),
-            F.max_by("first_us", "first_offset").alias("_us"),
+            F.min_by("first_us", "first_offset").alias("started_us"),
+            F.max(F.when(opening, F.col("first_offset"))).alias("open_offset"),
+            F.max(F.when(opening, F.col("first_us"))).alias("open_us"),
+            F.max("last_us").alias("last_us"),
         )
     )
-    ends = sources.groupBy(*GROUP).agg(F.max("last_us").alias("last_us"))
-    opened = F.col("_n") >= expected_sources
-    return needed.join(ends, [*GROUP]).select(
-        *GROUP,
-        "started_us",
-        F.when(opened, F.col("_offset")).alias("open_offset"),
-        F.when(opened, F.col("_us")).alias("open_us"),
-        "last_us",
-    )
 
 
 def first_close(params: ArbitrationParams) -> Column:

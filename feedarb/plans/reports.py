@@ -89,7 +89,8 @@ def gate_opening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _observed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Credited evictions, roster and gates of the feed without redeliveries."""
     feed = derived.copies(spark, sf_dir, redelivery=False)
-    sources = windows.roster(feed)
+    # Many small uses of one pass over all copies.
+    sources = durable(windows.roster(feed), "roster")
     gates = windows.gate_opening(sources, OBSERVE.expected_sources)
     evicted = arbitrate.evictions(feed, OBSERVE)
     return windows.credited(evicted, gates, OBSERVE), sources, gates
@@ -181,21 +182,26 @@ def ignore_filtered_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arbitrate.first_copies(feed, ("source_id", "arr_us"))
 
 
+def _filtered(
+    spark: SparkSession, sf_dir: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Recorded removals, the feed without the removed sources, and its roster."""
+    named = derived.retirements(spark, sf_dir)
+    feed = arbitrate.drop_ignored(derived.copies(spark, sf_dir), recorded.ignored_from(named))
+    return named, feed, durable(windows.roster(feed), "roster")
+
+
 def gate_closures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recorded.gate_closures(
-        derived.copies(spark, sf_dir), derived.retirements(spark, sf_dir), STALL
-    )
+    named, feed, sightings = _filtered(spark, sf_dir)
+    return recorded.gate_closures(feed, sightings, named, STALL)
 
 
 def gate_stalls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = derived.copies(spark, sf_dir)
-    named = derived.retirements(spark, sf_dir)
-    gone = recorded.ignored_from(named)
-    closures = recorded.gate_closures(feed, named, STALL)
-    sightings = windows.roster(arbitrate.drop_ignored(feed, gone))
-    return windows.stall_warnings(closures, sightings, gone, STALL).withColumn(
-        "ignored_sources", F.array_join("ignored_sources", ",")
-    )
+    named, feed, sightings = _filtered(spark, sf_dir)
+    closures = recorded.gate_closures(feed, sightings, named, STALL)
+    return windows.stall_warnings(
+        closures, sightings, recorded.ignored_from(named), STALL
+    ).withColumn("ignored_sources", F.array_join("ignored_sources", ","))
 
 
 def feed_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,11 +370,8 @@ def verdict_recheck(spark: SparkSession, sf_dir: str) -> DataFrame:
     window = [*GROUP, "window_no"]
     feed = derived.copies(spark, sf_dir, redelivery=False)
     gates = windows.gate_opening(windows.roster(feed), OBSERVE.expected_sources)
-    said = durable(
-        tally.verdicts(wins, window, OBSERVE.minimum_events).join(
-            windows.observe_windows(gates, OBSERVE), window
-        ),
-        "verdicts",
+    said = tally.verdicts(wins, window, OBSERVE.minimum_events).join(
+        windows.observe_windows(gates, OBSERVE), window
     )
     first_named = (
         said.where(F.col("slowest_source_id").isNotNull())

@@ -118,6 +118,7 @@ class ArbitrationProcessor(StatefulProcessor):
         state = self._load()
         before = None if state is None else steps.next_deadline(state, self.params)
         out: list[steps.Message] = []
+        firsts: list[steps.Message] = []
         counted = {"forwarded": 0, "duplicate": 0, "ignored": 0}
         lag = self.params.lag_for(key[0])
         for row in batch.itertuples(index=False):
@@ -135,7 +136,7 @@ class ArbitrationProcessor(StatefulProcessor):
             )
             counted[fate] += 1
             if fate == "forwarded":
-                out.append(
+                firsts.append(
                     {
                         "kind": "forwarded",
                         "at_us": row.arr_us,
@@ -150,6 +151,7 @@ class ArbitrationProcessor(StatefulProcessor):
             state["batches"] += 1
             out.append(self._snapshot(state, counted))
             self._store(state, before)
+        yield self._frame(key, firsts)
         yield self._frame(key, out)
 
     def handleExpiredTimer(
@@ -196,13 +198,14 @@ class ArbitrationProcessor(StatefulProcessor):
 
     @staticmethod
     def _frame(key: tuple[str, str], out: list[steps.Message]) -> pd.DataFrame:
+        """Messages as one frame; members no message has become empty columns."""
+        present = set().union(*(message.keys() for message in out))
         columns = {
-            name: pd.Series([message.get(name) for message in out], dtype=object)
+            name: [message.get(name) for message in out] if name in present else None
             for name in MESSAGE_FIELDS
         }
-        frame = pd.DataFrame(columns)
-        frame["stream_type"], frame["symbol"] = key[0], key[1]
-        return frame
+        columns.update(stream_type=key[0], symbol=key[1])
+        return pd.DataFrame(columns, index=range(len(out)), dtype=object)
 
 
 def arbitrate(tagged: DataFrame, params: ArbitrationParams, live: bool = False) -> DataFrame:
