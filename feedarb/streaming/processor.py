@@ -112,7 +112,7 @@ class ArbitrationProcessor(StatefulProcessor):
         self.stored = handle.getValueState("group", "body string")
 
     def handleInputRows(
-        self, key: tuple[str, str], rows: Iterator[pd.DataFrame], timer_values: Any
+        self, key: tuple[str, str], rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
         batch = in_order(pd.concat(list(rows), ignore_index=True))
         state = self._load()
@@ -155,12 +155,12 @@ class ArbitrationProcessor(StatefulProcessor):
         yield self._frame(key, out)
 
     def handleExpiredTimer(
-        self, key: tuple[str, str], timer_values: Any, expired: Any
+        self, key: tuple[str, str], timerValues: Any, expiredTimerInfo: Any
     ) -> Iterator[pd.DataFrame]:
         state = self._load()
         out: list[steps.Message] = []
         if state is not None:
-            now = timer_values.getCurrentProcessingTimeInMs() * 1000
+            now = timerValues.getCurrentProcessingTimeInMs() * 1000
             steps.pass_time(state, max(now, state["clock"]), self.params, out)
             self._store(state, None)
         yield self._frame(key, out)
