@@ -7,6 +7,19 @@ from pyspark.sql import functions as F
 
 
 def header_value(headers: Column, name: str) -> Column:
-    """Text of the first header called ``name``; null if absent or empty."""
+    """Text of the first header called ``name``; null if absent, empty or not UTF-8."""
+    return F.nullif(text_of(header_bytes(headers, name)), F.lit(""))
+
+
+def header_bytes(headers: Column, name: str) -> Column:
     matching = F.filter(headers, lambda h: h["key"] == F.lit(name))
-    return F.nullif(F.decode(F.get(matching, F.lit(0))["value"], "UTF-8"), F.lit(""))
+    return F.get(matching, F.lit(0))["value"]
+
+
+def text_of(value: Column) -> Column:
+    """Bytes as text; null where they are not UTF-8."""
+    return F.try_validate_utf8(value.cast("string"))
+
+
+def is_broken_text(value: Column) -> Column:
+    return value.isNotNull() & text_of(value).isNull()

@@ -212,9 +212,9 @@ def evictions(
             .otherwise(F.col("_stale_us"))
             .alias("evict_us"),
             "complete",
-            F.size(F.filter("early", lambda o: o <= F.coalesce("evict_offset", o))).alias(
-                "copies_seen"
-            ),
+            F.size(F.filter("early", lambda o: o <= F.coalesce("evict_offset", o)))
+            .cast("bigint")
+            .alias("copies_seen"),
             F.coalesce(F.col("last_o") > F.col("evict_offset"), F.lit(False)).alias("late_copy"),
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedarb.functions.headers import header_value
+from feedarb.functions.headers import header_bytes, header_value, is_broken_text, text_of
 from feedarb.functions.json import is_json_object
 from feedarb.functions.keys import message_key
 from feedarb.sources.catalogue import with_catalogue
@@ -15,21 +15,26 @@ def validate_raw(raw: DataFrame) -> DataFrame:
     """Read headers and key of broker messages and say which must be dropped.
 
     The payload is passed on as it is and never parsed.  ``drop_reason`` is null
-    for good messages; a missing header outranks a missing key.
+    for good messages; a missing header outranks a missing key.  Bytes that are not
+    UTF-8 where text is needed give ``bad_encoding``.
     """
     names = ("stream_type", "symbol", "source_id")
     read = raw.withColumns(
         {
             **{name: header_value(F.col("headers"), name) for name in names},
-            "msg_key": F.nullif(F.decode("key", "UTF-8"), F.lit("")),
+            "msg_key": F.nullif(text_of(F.col("key")), F.lit("")),
         }
     )
-    absent = F.lit(False)
+    absent = broken = F.lit(False)
     for name in names:
         absent = absent | F.col(name).isNull()
+        broken = broken | is_broken_text(header_bytes(F.col("headers"), name))
     return read.withColumn(
         "drop_reason",
-        F.when(absent, "missing_header").when(F.col("msg_key").isNull(), "missing_key"),
+        F.when(broken, "bad_encoding")
+        .when(absent, "missing_header")
+        .when(is_broken_text(F.col("key")), "bad_encoding")
+        .when(F.col("msg_key").isNull(), "missing_key"),
     )
 
 

@@ -70,16 +70,25 @@ def verdict_actions(decoded: DataFrame, handled: DataFrame) -> DataFrame:
             )
         )
     )
-    keyed = handled.withColumnRenamed("source_id", "slowest_source_id")
+    # Most of the log names no source.  Such rows match nothing; the spread keeps a
+    # shuffle from sending them all to the partition of nulls.
+    spread = F.when(name.isNull(), F.pmod(F.xxhash64("offset"), F.lit(1 << 16))).otherwise(-1)
+    keyed = handled.select(
+        *GROUP,
+        F.col("source_id").alias("slowest_source_id"),
+        "handled_offset",
+        F.lit(-1).cast("bigint").alias("_spread"),
+    )
     return (
         decoded.where(F.col("decode_status") != "malformed")
-        .join(keyed, [*GROUP, "slowest_source_id"], "left")
+        .withColumn("_spread", spread.cast("bigint"))
+        .join(keyed, [*GROUP, "slowest_source_id", "_spread"], "left")
         .withColumn(
             "act",
             F.coalesce((kind == "verdict") & name.isNotNull() & ~repeated, F.lit(False)),
         )
         .withColumn("action_reason", reason)
-        .drop("handled_offset")
+        .drop("handled_offset", "_spread")
     )
 
 
@@ -218,17 +227,22 @@ def match_confirmations(decoded: DataFrame, width: int = BLOCK_WIDTH) -> DataFra
         confirming.alias("_confirming"),
     )
     found = next_marked(
-        run, [*GROUP, "source_id"], "offset", F.col("_confirming"), "confirmed_offset", width
+        run,
+        [*GROUP, "source_id"],
+        "offset",
+        F.col("_confirming"),
+        ["terminated_at"],
+        "_next",
+        width,
     )
-    times = run.where("_confirming").select(
+    return found.where(~F.col("_confirming")).select(
+        *GROUP,
+        "source_id",
         "partition",
-        F.col("offset").alias("confirmed_offset"),
-        F.col("terminated_at").alias("confirmed_at"),
-    )
-    return (
-        found.where(~F.col("_confirming"))
-        .drop("_confirming", "terminated_at")
-        .join(times, ["partition", "confirmed_offset"], "left")
+        "offset",
+        "window_end",
+        F.col("_next.offset").alias("confirmed_offset"),
+        F.col("_next.terminated_at").alias("confirmed_at"),
     )
 
 

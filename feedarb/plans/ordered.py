@@ -103,12 +103,14 @@ def next_marked(
     keys: Sequence[str],
     order: str,
     marked: Column,
+    carry: Sequence[str],
     name: str,
     width: int = BLOCK_WIDTH,
 ) -> DataFrame:
-    """Add ``name`` = order of the nearest later row of the group with ``marked``."""
+    """Add the struct ``name`` = (order, ``carry`` columns) of the nearest later row
+    of the group with ``marked``; null if there is none."""
     blocked = _blocked(
-        df.withColumn("_mark", F.when(marked, F.col(order))), order, width
+        df.withColumn("_mark", F.when(marked, F.struct(order, *carry))), order, width
     )
     firsts = blocked.groupBy(*keys, "_block").agg(F.min("_mark").alias("_first"))
     # Descending order keeps the frame a growing one, which costs one pass.

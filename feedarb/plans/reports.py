@@ -169,6 +169,11 @@ def audit_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _retired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # As small as a recorded log of removals is, and known to be.
+    return durable(derived.retirements(spark, sf_dir), "retired")
+
+
 def tumbling_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     firsts = arbitrate.first_copies(derived.copies(spark, sf_dir)).withColumnRenamed(
         "source_id", "winner"
@@ -177,7 +182,7 @@ def tumbling_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ignore_filtered_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gone = recorded.ignored_from(derived.retirements(spark, sf_dir))
+    gone = recorded.ignored_from(_retired(spark, sf_dir))
     feed = arbitrate.drop_ignored(derived.copies(spark, sf_dir), gone)
     return arbitrate.first_copies(feed, ("source_id", "arr_us"))
 
@@ -186,7 +191,7 @@ def _filtered(
     spark: SparkSession, sf_dir: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Recorded removals, the feed without the removed sources, and its roster."""
-    named = derived.retirements(spark, sf_dir)
+    named = _retired(spark, sf_dir)
     feed = arbitrate.drop_ignored(derived.copies(spark, sf_dir), recorded.ignored_from(named))
     return named, feed, durable(windows.roster(feed), "roster")
 
@@ -205,7 +210,7 @@ def gate_stalls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gone = recorded.ignored_from(derived.retirements(spark, sf_dir))
+    gone = recorded.ignored_from(_retired(spark, sf_dir))
     return rollups.feed_counters(arbitrate.flag_ignored(derived.copies(spark, sf_dir), gone))
 
 

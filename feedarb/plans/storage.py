@@ -38,8 +38,17 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the written table.
 
     For a result read more than once (a numbering pass and the rows it numbers):
-    without it each reader would repeat the shuffles below.
+    without it each reader would repeat the shuffles below.  Also for a small
+    result of a large input: a table's size is known before joins are planned.
     """
+    return read_table(df.sparkSession, write_table(df, label))
+
+
+def write_table(df: DataFrame, label: str) -> str:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

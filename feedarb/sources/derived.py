@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedarb.sources.landing import land_with_offsets
+from feedarb.plans.storage import read_table
+from feedarb.sources.landing import landed_path
 
 # Fixed values of the derived fleet, in microseconds since the epoch.
 FEED_START_US = 1_704_067_200_000_000
@@ -41,7 +42,7 @@ COPY_REDELIVERED = "redelivery = 0 or (event_id + s) % 29 = 0"
 SOURCE_NAME = "concat('ip-172-31-', cast(s as string), '-10.ap-northeast-1.compute.internal')"
 ARRIVAL_ORDER = ("arr_us", "event_id", "s", "redelivery")
 
-_landed: dict[tuple[str, str, bool], DataFrame] = {}
+_landed: dict[tuple[str, str, bool], str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,10 +97,8 @@ def copies(spark: SparkSession, sf_dir: str, redelivery: bool = True) -> DataFra
     """
     key = (spark.sparkContext.applicationId, sf_dir, redelivery)
     if key not in _landed:
-        _landed[key] = land_with_offsets(
-            delivered_copies(spark, sf_dir, redelivery), ARRIVAL_ORDER
-        )
-    return _landed[key].drop("s", "redelivery")
+        _landed[key] = landed_path(delivered_copies(spark, sf_dir, redelivery), ARRIVAL_ORDER)
+    return read_table(spark, _landed[key]).drop("s", "redelivery")
 
 
 # --- broker messages with damaged headers and keys --------------------------------------
@@ -274,7 +273,7 @@ BROKEN_BYTES = "unhex('7BFF7D')"
 AUDIT_BYTES = f"case when body = 'broken' then {BROKEN_BYTES} else cast(body as binary) end"
 NAMING_VERDICT = "event_id % 20 in (3, 4, 5, 6, 7, 8)"
 
-_logs: dict[tuple[str, str], DataFrame] = {}
+_logs: dict[tuple[str, str], str] = {}
 
 
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,10 +290,8 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "event_id",
             )
         )
-        _logs[key] = land_with_offsets(
-            messages, ("ts_us", "event_id"), "offset", ("partition",)
-        )
-    return _logs[key]
+        _logs[key] = landed_path(messages, ("ts_us", "event_id"), "offset", ("partition",))
+    return read_table(spark, _logs[key])
 
 
 # What came of an attempt: most end well, the others stop at a stage.

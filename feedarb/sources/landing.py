@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedarb.plans.storage import durable
+from feedarb.plans.storage import durable, read_table, write_table
 
 GROUP = ("stream_type", "symbol")
 
@@ -23,6 +23,13 @@ def land_with_offsets(
     df: DataFrame, order: Sequence[str], offset: str = "seq_offset", keys: Sequence[str] = GROUP
 ) -> DataFrame:
     """Written table with dense ``offset`` from 0 per group; ``order`` must be unique."""
+    return read_table(df.sparkSession, landed_path(df, order, offset, keys))
+
+
+def landed_path(
+    df: DataFrame, order: Sequence[str], offset: str = "seq_offset", keys: Sequence[str] = GROUP
+) -> str:
+    """Where ``land_with_offsets`` has written its table."""
     placed = durable(
         df.repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
@@ -35,17 +42,22 @@ def land_with_offsets(
         F.min("_slot").alias("_first"), F.count("*").alias("_rows")
     )
     earlier = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = spans.select(
-        *keys,
-        "_part",
-        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+    # Ranges are contiguous: at most (partitions + groups) rows.  Written, its size is
+    # known, and the optimiser broadcasts it only below the session's threshold.
+    starts = durable(
+        spans.select(
+            *keys,
+            "_part",
+            (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias(
+                "_shift"
+            ),
+        ),
+        "starts",
     )
-    # Ranges are contiguous: starts has at most (partitions + groups) rows, and the
-    # optimiser broadcasts it only below its size threshold.
     numbered = (
         placed.withColumn("_part", part)
         .join(starts, [*keys, "_part"])
         .withColumn(offset, F.col("_slot") + F.col("_shift"))
         .drop("_slot", "_part", "_shift")
     )
-    return durable(numbered, "landed")
+    return write_table(numbered, "landed")

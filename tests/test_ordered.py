@@ -50,8 +50,13 @@ def test_nth_next(spark, rows, width):
 
 @pytest.mark.parametrize("width", [1, 10, 1 << 20])
 def test_next_marked(spark, rows, width):
-    got = next_marked(spark.createDataFrame(rows), ["g"], "o", F.col("m"), "next", width)
+    got = next_marked(spark.createDataFrame(rows), ["g"], "o", F.col("m"), ["v"], "next", width)
     got = {(r.g, r.o): r.next for r in got.collect()}
+    values = {(g, o): v for g, o, v in zip(rows["g"], rows["o"], rows["v"])}
     for g, o in zip(rows["g"], rows["o"]):
         later = rows[(rows["g"] == g) & (rows["o"] > o) & rows["m"]]["o"]
-        assert got[(g, o)] == (None if later.empty else int(later.min()))
+        near = got[(g, o)]
+        if later.empty:
+            assert near is None
+        else:
+            assert (near.o, near.v) == (later.min(), values[(g, later.min())])

@@ -97,6 +97,9 @@ def test_raw_validation_order(spark):
         (b"t:1", None, "missing_header"),
         (b"t:1", headers(stream_type=b"trade", symbol=b"s"), "missing_header"),
         (b"t:1", [{"key": "symbol", "value": None}] + headers(**good), "missing_header"),
+        (b"t:1", headers(**{**good, "symbol": b"\xff"}), "bad_encoding"),
+        (b"\xff", headers(**good), "bad_encoding"),
+        (b"\xff", headers(stream_type=b"trade"), "missing_header"),
     ]
     df = spark.createDataFrame(
         [(i, k, h) for i, (k, h, _) in enumerate(cases)],
