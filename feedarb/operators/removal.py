@@ -70,25 +70,20 @@ def verdict_actions(decoded: DataFrame, handled: DataFrame) -> DataFrame:
             )
         )
     )
-    # Most of the log names no source.  Such rows match nothing; the spread keeps a
-    # shuffle from sending them all to the partition of nulls.
-    spread = F.when(name.isNull(), F.pmod(F.xxhash64("offset"), F.lit(1 << 16))).otherwise(-1)
-    keyed = handled.select(
-        *GROUP,
-        F.col("source_id").alias("slowest_source_id"),
-        "handled_offset",
-        F.lit(-1).cast("bigint").alias("_spread"),
-    )
+    # Most of the log names no source.  A text of its own, which no machine has as
+    # its name, keeps a shuffle from sending all those rows to the one of nulls.
+    nobody = F.concat(F.lit("\n"), "partition", F.lit("/"), "offset")
+    keyed = handled.withColumnRenamed("source_id", "_named")
     return (
         decoded.where(F.col("decode_status") != "malformed")
-        .withColumn("_spread", spread.cast("bigint"))
-        .join(keyed, [*GROUP, "slowest_source_id", "_spread"], "left")
+        .withColumn("_named", F.coalesce(name, nobody))
+        .join(keyed, [*GROUP, "_named"], "left")
         .withColumn(
             "act",
             F.coalesce((kind == "verdict") & name.isNotNull() & ~repeated, F.lit(False)),
         )
         .withColumn("action_reason", reason)
-        .drop("handled_offset", "_spread")
+        .drop("handled_offset", "_named")
     )
 
 

@@ -115,43 +115,31 @@ class ArbitrationProcessor(StatefulProcessor):
         self, key: tuple[str, str], rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
         batch = in_order(pd.concat(list(rows), ignore_index=True))
-        state = self._load()
-        before = None if state is None else steps.next_deadline(state, self.params)
+        state, params, lag = self._load(), self.params, self.params.lag_for(key[0])
+        before = None if state is None else state["due"]
         out: list[steps.Message] = []
-        firsts: list[steps.Message] = []
+        firsts: list[int] = []
         counted = {"forwarded": 0, "duplicate": 0, "ignored": 0}
-        lag = self.params.lag_for(key[0])
-        for row in batch.itertuples(index=False):
-            if row.tag == CONFIRMATION:
+        columns = [batch[c].tolist() for c in ("tag", "arr_us", "msg_key", "source_id")]
+        for row, (tag, at, msg_key, source) in enumerate(zip(*columns)):
+            if tag == CONFIRMATION:
                 # A group that never had a copy has nothing to update.
                 if state is not None:
-                    steps.pass_time(state, row.arr_us, self.params, out)
-                    steps.take_confirmation(state, row.source_id)
+                    steps.pass_time(state, at, params, out)
+                    steps.take_confirmation(state, source)
                 continue
             if state is None:
-                state = steps.new_state(row.arr_us)
-            steps.pass_time(state, max(row.arr_us, state["clock"]), self.params, out)
-            fate = steps.take_copy(
-                state, row.msg_key, row.source_id, self.params, lag, out
-            )
+                state = steps.new_state(at, params)
+            steps.pass_time(state, at, params, out)
+            fate = steps.take_copy(state, msg_key, source, params, lag, out)
             counted[fate] += 1
             if fate == "forwarded":
-                firsts.append(
-                    {
-                        "kind": "forwarded",
-                        "at_us": row.arr_us,
-                        "msg_key": row.msg_key,
-                        "source_id": row.source_id,
-                        "seq_offset": row.seq_offset,
-                        "value": row.value,
-                        "headers": row.headers,
-                    }
-                )
+                firsts.append(row)
         if state is not None:
             state["batches"] += 1
             out.append(self._snapshot(state, counted))
             self._store(state, before)
-        yield self._frame(key, firsts)
+        yield self._forwarded(key, batch.iloc[firsts])
         yield self._frame(key, out)
 
     def handleExpiredTimer(
@@ -173,7 +161,7 @@ class ArbitrationProcessor(StatefulProcessor):
 
     def _store(self, state: steps.State, before: int | None) -> None:
         self.stored.update((json.dumps(state, separators=(",", ":")),))
-        due = steps.next_deadline(state, self.params)
+        due = state["due"]
         if self.live and due != before:
             if before is not None:
                 self.handle.deleteTimer(before // 1000)
@@ -196,6 +184,19 @@ class ArbitrationProcessor(StatefulProcessor):
             "ignored": counted["ignored"],
         }
 
+    @staticmethod
+    def _forwarded(key: tuple[str, str], rows: pd.DataFrame) -> pd.DataFrame:
+        """Input rows of first copies, payload untouched, as messages."""
+        known = {
+            "stream_type": key[0],
+            "symbol": key[1],
+            "kind": "forwarded",
+            "at_us": rows["arr_us"],
+            **{c: rows[c] for c in ("msg_key", "source_id", "seq_offset", "value", "headers")},
+        }
+        columns = {name: known.get(name) for name in MESSAGE_FIELDS}
+        return pd.DataFrame(columns, index=rows.index, dtype=object)
+
     @staticmethod
     def _frame(key: tuple[str, str], out: list[steps.Message]) -> pd.DataFrame:
         """Messages as one frame; members no message has become empty columns."""
