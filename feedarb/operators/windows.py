@@ -133,22 +133,29 @@ def stall_warnings(
         .select(*GROUP, "closed_us", "emitted_us")
     )
     earliest = ignored_from.groupBy(*GROUP, "source_id").agg(F.min("from_us").alias("from_us"))
-    fleet = sightings.select(*GROUP, "source_id", "first_us").join(
-        earliest, [*GROUP, "source_id"], "full"
+    # One list per group, an entry per machine; warnings look things up in it.
+    fleet = (
+        sightings.select(*GROUP, "source_id", "first_us")
+        .join(earliest, [*GROUP, "source_id"], "full")
+        .groupBy(*GROUP)
+        .agg(F.collect_list(F.struct("source_id", "first_us", "from_us")).alias("_fleet"))
     )
-    gone = F.col("from_us") <= F.col("emitted_us")
-    present = (F.col("first_us") < F.col("emitted_us")) & ~F.coalesce(gone, F.lit(False))
-    return (
-        warned.join(fleet, [*GROUP], "left")
-        .groupBy(*GROUP, "closed_us", "emitted_us")
-        .agg(
-            F.count_if(present).alias("sources_confirmed"),
-            F.array_sort(F.collect_set(F.when(gone, F.col("source_id")))).alias("ignored_sources"),
-        )
-        .withColumns(
-            {
-                "sources_expected": F.lit(params.expected_sources).cast("bigint"),
-                "stalled_for_us": F.col("emitted_us") - F.col("closed_us"),
-            }
-        )
+    now = F.col("emitted_us")
+
+    def gone(source: Column) -> Column:
+        return F.coalesce(source["from_us"] <= now, F.lit(False))
+
+    def present(source: Column) -> Column:
+        return (source["first_us"] < now) & ~gone(source)
+
+    return warned.join(fleet, [*GROUP]).select(
+        *GROUP,
+        "closed_us",
+        "emitted_us",
+        F.size(F.filter("_fleet", present)).cast("bigint").alias("sources_confirmed"),
+        F.array_sort(
+            F.transform(F.filter("_fleet", gone), lambda source: source["source_id"])
+        ).alias("ignored_sources"),
+        F.lit(params.expected_sources).cast("bigint").alias("sources_expected"),
+        (now - F.col("closed_us")).alias("stalled_for_us"),
     )

@@ -28,7 +28,7 @@ def stream_catalogue(
 def with_catalogue(df: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Attach the catalogue row of each record's stream type, in any letter case.
 
-    The catalogue has one row per kind of feed, a handful by nature.
+    A catalogue is a handful of rows, which the planner sees and broadcasts by itself.
     """
     named = df.withColumn("stream_type", F.lower("stream_type"))
-    return named.join(F.broadcast(catalogue), "stream_type", "left")
+    return named.join(catalogue, "stream_type", "left")

@@ -271,7 +271,8 @@ AUDIT_PARTITION = "case stream_type when 'trade' then 0 when 'depth' then 1 else
 # Not UTF-8: an opening brace and a stray byte.
 BROKEN_BYTES = "unhex('7BFF7D')"
 AUDIT_BYTES = f"case when body = 'broken' then {BROKEN_BYTES} else cast(body as binary) end"
-NAMING_VERDICT = "event_id % 20 in (3, 4, 5, 6, 7, 8)"
+# Which of the messages above are verdicts that name a source.
+NAMING_VERDICT = "event_id % 20 between 3 and 8"
 
 _logs: dict[tuple[str, str], str] = {}
 
@@ -286,6 +287,7 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(
                 F.expr(AUDIT_PARTITION).alias("partition"),
                 F.expr(AUDIT_BYTES).alias("value"),
+                F.expr(NAMING_VERDICT).alias("names_source"),
                 "ts_us",
                 "event_id",
             )
@@ -302,7 +304,7 @@ OUTCOME_INSTANCE = f"case when {OUTCOME_OK} then concat('i-0c', cast(event_id as
 
 def removal_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What acting on each naming verdict led to, had it been tried."""
-    log = audit_log(spark, sf_dir).where(NAMING_VERDICT).select("event_id", "offset")
+    log = audit_log(spark, sf_dir).where("names_source").select("event_id", "offset")
     return (
         feed_events(spark, sf_dir)
         .join(log, "event_id")

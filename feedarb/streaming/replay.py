@@ -2,7 +2,7 @@
 
 The feed goes through in slices of a fixed number of offsets per group, one
 micro-batch each, from one checkpoint.  However large a group is, a task holds at
-most one slice of it; a lost run goes on from its last slice.
+most one slice of it, and a lost task starts again from the state before its slice.
 """
 
 from __future__ import annotations
