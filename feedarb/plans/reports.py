@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedarb.functions import keys
@@ -371,20 +372,16 @@ def confirm_latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def verdict_recheck(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recorded verdicts recomputed: each group's log up to its first named source."""
-    wins = durable(window_wins(spark, sf_dir), "wins")
     window = [*GROUP, "window_no"]
     feed = derived.copies(spark, sf_dir, redelivery=False)
     gates = windows.gate_opening(windows.roster(feed), OBSERVE.expected_sources)
-    said = tally.verdicts(wins, window, OBSERVE.minimum_events).join(
-        windows.observe_windows(gates, OBSERVE), window
-    )
-    first_named = (
-        said.where(F.col("slowest_source_id").isNotNull())
-        .groupBy(*GROUP)
-        .agg(F.min("window_no").alias("_last"))
-    )
-    log = said.join(first_named, [*GROUP], "left").where(
-        F.coalesce(F.col("window_no") <= F.col("_last"), F.lit(True))
+    naming = F.when(F.col("slowest_source_id").isNotNull(), F.col("window_no"))
+    log = (
+        tally.verdicts(window_wins(spark, sf_dir), window, OBSERVE.minimum_events)
+        .join(windows.observe_windows(gates, OBSERVE), window)
+        .withColumn("_last", F.min(naming).over(W.partitionBy(*GROUP)))
+        .where(F.coalesce(F.col("window_no") <= F.col("_last"), F.lit(True)))
+        .drop("_last")
     )
     return recorded.recheck_verdicts(feed, durable(log, "log"), None, OBSERVE)
 

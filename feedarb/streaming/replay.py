@@ -66,8 +66,14 @@ def replay(
     session = copies.sparkSession.newSession()
     for name, value in STATEFUL_SETTINGS.items():
         session.conf.set(name, value)
-    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-        session.conf.set(name, copies.sparkSession.conf.get(name))
+    # A state partition costs a store and a worker, empty or not: no more of them
+    # than the cluster can run at once.
+    slots = 2 * session.sparkContext.defaultParallelism
+    wanted = int(copies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set("spark.sql.shuffle.partitions", str(min(wanted, slots)))
+    session.conf.set(
+        "spark.sql.session.timeZone", copies.sparkSession.conf.get("spark.sql.session.timeZone")
+    )
 
     tagged = tag_copies(copies)
     if confirmed is not None:
