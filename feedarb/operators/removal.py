@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedarb import texts
 from feedarb.functions.identity import node_identity
 from feedarb.params import RemovalParams
 from feedarb.plans.ordered import BLOCK_WIDTH, next_marked
@@ -41,34 +42,17 @@ def verdict_actions(decoded: DataFrame, handled: DataFrame) -> DataFrame:
     for wire, shown in TYPE_NAMES.items():
         type_name = F.when(kind == wire, F.lit(shown)).otherwise(type_name)
     reason = (
-        F.when(
-            F.col("decode_status") == "unrecognised",
-            F.lit("unrecognised message type or schema version"),
-        )
-        .when(kind != "verdict", F.concat(F.lit("not a verdict ("), type_name, F.lit(")")))
+        F.when(F.col("decode_status") == "unrecognised", F.lit(texts.UNRECOGNISED))
+        .when(kind != "verdict", F.format_string(texts.NOT_A_VERDICT, type_name))
         .when(
             name.isNull(),
-            F.concat(
-                F.lit("verdict reached no conclusion: "),
-                F.coalesce(F.nullif("reason", F.lit("")), F.lit("no reason given")),
-            ),
-        )
-        .when(
-            repeated,
-            F.concat(
-                F.lit("already acted on "), name, F.lit(" for "), "stream_type", F.lit("/"), "symbol"
+            F.format_string(
+                texts.NO_CONCLUSION,
+                F.coalesce(F.nullif("reason", F.lit("")), F.lit(texts.NO_REASON)),
             ),
         )
-        .otherwise(
-            F.concat(
-                name,
-                F.lit(" was slowest over "),
-                "total_events",
-                F.lit(" events from "),
-                "sources_seen",
-                F.lit(" sources"),
-            )
-        )
+        .when(repeated, F.format_string(texts.ALREADY_ACTED, name, "stream_type", "symbol"))
+        .otherwise(F.format_string(texts.SLOWEST, name, "total_events", "sources_seen"))
     )
     # Most of the log names no source.  A text of its own, which no machine has as
     # its name, keeps a shuffle from sending all those rows to the one of nulls.
@@ -95,16 +79,11 @@ def eligibility(params: RemovalParams) -> Column:
     label, value = params.required_label, params.required_value
     actual = F.try_element_at("labels", F.lit(label))
     return (
-        F.when(F.col("node_name").isNull(), F.lit("node not found in the cluster"))
-        .when(
-            actual.isNull(),
-            F.lit(
-                f"node has no '{label}' label; only nodes labelled {label}={value} may be removed"
-            ),
-        )
+        F.when(F.col("node_name").isNull(), F.lit(texts.NODE_NOT_FOUND))
+        .when(actual.isNull(), F.lit(texts.LABEL_MISSING % (label, label, value)))
         .when(
             actual != value,
-            F.concat(F.lit(f"node is {label}='"), actual, F.lit(f"', not '{value}'")),
+            F.format_string(texts.LABEL_DIFFERS, F.lit(label), actual, F.lit(value)),
         )
     )
 

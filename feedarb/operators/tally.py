@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedarb import texts
 from feedarb.functions.timing import int_div
 from feedarb.operators.windows import window_presence
 from feedarb.params import ArbitrationParams
@@ -42,21 +43,12 @@ def window_wins(
 def _reason(minimum_events: int) -> Column:
     total, seen = F.col("total_events"), F.col("sources_seen")
     return (
-        F.when(seen < 2, F.lit("fewer than two sources contributed"))
+        F.when(seen < 2, F.lit(texts.TOO_FEW_SOURCES))
         .when(
             total < minimum_events,
-            F.concat(F.lit("only "), total, F.lit(f" events, need {minimum_events}")),
-        )
-        .when(
-            F.col("_at_lowest") > 1,
-            F.concat(
-                F.lit("tie between "),
-                F.col("_at_lowest"),
-                F.lit(" sources on "),
-                F.col("_lowest"),
-                F.lit(" wins"),
-            ),
+            F.format_string(texts.TOO_FEW_EVENTS, total, F.lit(minimum_events)),
         )
+        .when(F.col("_at_lowest") > 1, F.format_string(texts.TIED, "_at_lowest", "_lowest"))
     )
 
 
