@@ -12,10 +12,12 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+import feedarb
 from feedarb.params import ArbitrationParams
 from feedarb.sources.landing import GROUP
 from feedarb.streaming import steps
@@ -215,6 +217,9 @@ def arbitrate(tagged: DataFrame, params: ArbitrationParams, live: bool = False)
     Each micro-batch adds one ``state`` row per group with its own counts.  Needs
     the RocksDB state store (see ``stateful_settings``).
     """
+    # Python workers cannot count on finding this package, least of all the one that
+    # reads the operator's state layout; its code travels with the operator.
+    cloudpickle.register_pickle_by_value(feedarb)
     return tagged.groupBy(*GROUP).transformWithStateInPandas(
         statefulProcessor=ArbitrationProcessor(params, live),
         outputStructType=MESSAGE_SCHEMA,

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -273,3 +276,21 @@ def test_kafka_options(live):
     assert kafka.sink_options("h", "t")["kafka.acks"] == "all"
     with pytest.raises(ValueError):
         kafka.source_options("h", "t", "middle")
+
+
+def test_stateful_operator_runs_from_any_folder(tmp_path):
+    """Workers get the package from the application, not from a working directory."""
+    root = Path(__file__).resolve().parents[1]
+    script = tmp_path / "job.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {str(root)!r})\n"
+        "from tests.conftest import make_session\n"
+        "import __spark_entry__ as entry\n"
+        "spark = make_session()\n"
+        "print('groups', entry.queries()['state_snapshot'](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    done = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert "groups 9" in done.stdout, done.stderr[-2000:]
