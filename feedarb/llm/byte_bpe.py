@@ -25,28 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedarb.llm.shared import slices
-
-#: Words, pieces and pairs that a worker remembers, at most twice as many.
-MEMORY = 400_000
-
-
-class _Memory(dict):
-    """A function's results by argument: the newest, and those used since the last change of guard."""
-
-    def __init__(self, function, most: int = MEMORY):
-        super().__init__()
-        self.function, self.most, self.older = function, most, {}
-
-    def __missing__(self, key):
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        value = self.older.get(key, self)
-        if value is self:
-            value = self.function(key)
-        self[key] = value
-        return value
+from feedarb.llm.shared import Memory, slices
 
 
 class BytePairCodec:
@@ -64,12 +43,12 @@ class BytePairCodec:
         for token, rank in ranks.items():
             self._automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self._automaton.make_automaton()
-        self._parts = _Memory(self._last_merge)
-        self._compatible = _Memory(self._fits)
-        self._shorter = _Memory(self._next_prefix)
-        self._pieces = _Memory(self._encode_piece)
-        self._words = _Memory(self._encode_word)
-        self._inner = _Memory(lambda word: self._encode_word(" " + word))
+        self._parts = Memory(self._last_merge)
+        self._compatible = Memory(self._fits)
+        self._shorter = Memory(self._next_prefix)
+        self._pieces = Memory(self._encode_piece)
+        self._words = Memory(self._encode_word)
+        self._inner = Memory(lambda word: self._encode_word(" " + word))
 
     def merge(self, data: bytes, never: int = -1) -> list[int]:
         """The plain definition: again and again the neighbours of lowest rank (but ``never``)."""

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from feedarb.llm import byte_bpe
+from feedarb.llm import byte_bpe, token_files
 from feedarb.llm.shared import table
+from feedarb.plans import storage
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(docs, ranks, public_tokenizers.PATTERN)
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = storage.new_path(spark, "token-files")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_digests(spark.read.parquet(path))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task works on at a time.
 SLICE_BYTES = 8 << 20
+#: Results that a Memory holds, at most twice as many.
+MEMORY = 400_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +34,7 @@ def unit(*columns: Column, seed: int = 0) -> Column:
 
 def slices(batch, column: str | int, most: int = SLICE_BYTES) -> Iterator:
     """Parts of a record batch with at most ``most`` bytes of text each, or one row."""
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
     start = held = 0
     for at, size in enumerate(sizes):
         if held + size > most and at > start:
@@ -54,3 +57,21 @@ def word_blocks(data: bytes, most: int = 1 << 20) -> Iterator[list[bytes]]:
             end += 1
         yield data[start:end].split()
         start = end
+
+
+class Memory(dict):
+    """A function's results by argument: the newest, and those used since the last change of guard."""
+
+    def __init__(self, function, most: int = MEMORY):
+        super().__init__()
+        self.function, self.most, self.older = function, most, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        value = self.older.get(key, self)
+        if value is self:
+            value = self.function(key)
+        self[key] = value
+        return value
