@@ -22,11 +22,14 @@ from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedarb.llm.shared import Memory, slices
 
+#: Texts that are decoded at a time.
+DECODED_ROWS = 256
+
 
 class BytePairCodec:
     """Encoder and decoder for one table of token ranks."""
@@ -147,55 +150,57 @@ class BytePairCodec:
             out.extend(chain.from_iterable(map(inner.__getitem__, rest)))
         return out
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
-
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=2)
 def codec(ranks_path: str, pattern: str) -> BytePairCodec:
     """One codec per worker process, file and pattern."""
+    return BytePairCodec({token: rank for rank, token in tokens(ranks_path).items()}, pattern)
+
+
+@functools.lru_cache(maxsize=2)
+def tokens(ranks_path: str) -> dict[int, bytes]:
+    """Bytes by token id."""
     with open(ranks_path, "rb") as lines:
-        ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, filter(bytes.strip, lines))}
-    return BytePairCodec(ranks, pattern)
+        return {int(r): base64.b64decode(t) for t, r in map(bytes.split, filter(bytes.strip, lines))}
 
 
-def encode(text: Column, ranks_path: str, pattern: str) -> Column:
-    """Token ids of a text as array<int>."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """``doc_id`` and ``ids``, the token ids of ``text``."""
 
-    @F.arrow_udf("array<int>")
-    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)
         for batch in batches:
-            parts = []
-            for part in slices(pa.table({"t": batch}), "t"):
+            for part in slices(batch, "text"):
                 offsets, values = [0], array.array("i")
-                for item in part.column(0).to_pylist():
-                    values.extend(own.encode(item or ""))
+                for text in part.column("text"):
+                    values.extend(own.encode(text.as_py() or ""))
                     offsets.append(len(values))
-                parts.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32())))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
 
-    return encoded(text)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encoded, "doc_id long, ids array<int>")
 
 
-def decode(ids: Column, ranks_path: str, pattern: str) -> Column:
-    """Bytes of an array of token ids; null ids: no bytes."""
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """Adds ``decoded``, the bytes that ``ids`` stand for; null ids: no bytes."""
 
-    @F.arrow_udf("binary")
-    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = codec(ranks_path, pattern)
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = tokens(ranks_path)
         for batch in batches:
-            yield pa.array([own.decode(x or ()) for x in batch.to_pylist()], pa.binary())
+            for start in range(0, batch.num_rows, DECODED_ROWS):
+                part = batch.slice(start, DECODED_ROWS)
+                texts = [b"".join([token[i] for i in x.as_py() or ()]) for x in part.column("ids")]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("ids"), pa.array(texts, pa.binary())],
+                    ["doc_id", "ids", "decoded"],
+                )
 
-    return decoded(ids)
+    return encoded.mapInArrow(decoded, "doc_id long, ids array<int>, decoded binary")
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, token count and digests of the ids and of the bytes they decode to."""
-    ids = docs.select("doc_id", encode(F.col("text"), ranks_path, pattern).alias("ids"))
-    return ids.select(
-        "doc_id", "ids", decode(F.col("ids"), ranks_path, pattern).alias("decoded")
-    ).select(
+    return decode(encode(docs, ranks_path, pattern), ranks_path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedarb.llm import byte_bpe, token_files
+from feedarb.llm import byte_bpe, mixing, sharding, simhash, token_files, toxicity
 from feedarb.llm.shared import table
 from feedarb.plans import storage
 
@@ -19,6 +20,37 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(docs, ranks, public_tokenizers.PATTERN)
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    weights = toxicity.fit(docs, labels)
+    return docs.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        toxicity.scored(docs, weights).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = storage.durable(mixing.sized(table(spark, sf_dir, "documents")), "sizes")
+    return mixing.mixed(sizes, mixing.mix(sizes)).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.sharded(table(spark, sf_dir, "documents"), 24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

@@ -14,7 +14,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task works on at a time.
 SLICE_BYTES = 8 << 20
 #: Results that a Memory holds, at most twice as many.
-MEMORY = 400_000
+MEMORY = 150_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -101,7 +101,7 @@ def _heads(seq: np.ndarray, turn: int) -> np.ndarray:
     """
     kind = seq.dtype.type
     if turn % 3 < 2:
-        half = (seq * kind(0x9E3779B1) >> kind(12 + turn // 3 % 16)) & kind(1) == turn % 3
+        half = (seq * kind(0x9E3779B1) >> kind(31 - turn // 3 * 7 % 32)) & kind(1) == turn % 3
         return np.flatnonzero(half[:-1] & ~half[1:])
     at = np.flatnonzero(seq[:-1] == seq[1:])
     opens = np.ones(len(at), bool)
