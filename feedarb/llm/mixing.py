@@ -5,7 +5,7 @@ that leaves over goes to the other sources by weight until none is above.  A sou
 takes all its documents as often as whole copies fit its target.  The rest of the target is
 a sample without replacement: documents are ranked by u / (1 - u) over p / (1 - p), where u
 is a number that only the id decides and p the part still wanted, and the lowest ranks are
-taken until the words suffice.  A last document fills the gap as well as one can.
+taken while their words fit.  One more document then closes the gap as nearly as one can.
 
 Nothing is sorted as a whole: words are summed by source and slice of the rank's range, and
 only the slice where the target is reached is ordered, about 1 in 4,096 of a source.
@@ -121,12 +121,12 @@ def rules(sizes: DataFrame, planned: DataFrame, seed: int = 0) -> DataFrame:
     open_docs = (
         with_source(ranked, found)
         .where((F.col("slice") > F.col("last_slice")) | ((F.col("slice") == F.col("last_slice")) & (F.col("last").isNull() | (key > F.col("last")))))
-        .where(F.col("sampled") + F.col("size") <= F.col("rest"))
+        .where(F.col("size") < 2 * (F.col("rest") - F.col("sampled")))
         .groupBy("source", "doc_id", "size", "rank")
         .agg(F.sum("size").alias("words"), F.first(F.col("rest") - F.col("sampled")).alias("gap"))
-        .where("words <= gap")
+        .where("words < 2 * gap")
         .groupBy("source")
-        .agg(F.max(F.struct("words", "rank", "doc_id", "size")).alias("close"))
+        .agg(F.min(F.struct(F.abs(F.col("gap") - F.col("words")), "rank", "doc_id", "size")).alias("close"))
     )
     found = with_source(found, open_docs, "left").drop("sampled")
     return with_source(planned, found, "left").select(

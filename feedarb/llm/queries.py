@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedarb.llm import byte_bpe, mixing, sharding, simhash, token_files, toxicity
+from feedarb.llm import byte_bpe, chat, extraction, mixing, sharding, simhash, token_files, toxicity
 from feedarb.llm.shared import table
 from feedarb.plans import storage
 
@@ -20,11 +20,24 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(docs, ranks, public_tokenizers.PATTERN)
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.segments(turns.union(own)))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = extraction.extracted(pages, *extraction.fit(pages))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))

@@ -67,11 +67,14 @@ class Memory(dict):
         self.function, self.most, self.older = function, most, {}
 
     def __missing__(self, key):
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
         value = self.older.get(key, self)
         if value is self:
             value = self.function(key)
+        return self.keep(key, value)
+
+    def keep(self, key, value):
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
         self[key] = value
         return value

@@ -37,6 +37,10 @@ BLOCK_SCHEMA = (
 )
 #: Ids in a block, at least.
 BLOCK_TOKENS = 1 << 20
+#: From so many ids on, three turns with little gain end a block's grammar; below it, nine.
+QUICK = 1 << 16
+#: Words that a worker remembers, at most twice as many.
+WORDS = 400_000
 
 
 @dataclass
@@ -122,7 +126,8 @@ def compress(ids: np.ndarray, base: int, least: int = 8, most_rules: int | None
     rules: list[np.ndarray] = []
     made = turn = quiet = 0
     count = max(least, len(ids) >> 9)
-    while made < most_rules and len(seq) > 1 and quiet < 9:
+    patience = 9 if len(ids) < QUICK else 3
+    while made < most_rules and len(seq) > 1 and quiet < patience:
         heads = _heads(seq, turn)
         pairs = seq[heads] << kind(shift) | seq[heads + 1]
         found, counts = np.unique(pairs, return_counts=True)
@@ -131,6 +136,11 @@ def compress(ids: np.ndarray, base: int, least: int = 8, most_rules: int | None
         if len(chosen) > most_rules - made:
             chosen = np.sort(chosen[np.argsort(-counts, kind="stable")[: most_rules - made]])
         if len(chosen):
+            parts = np.stack([chosen >> kind(shift), chosen & kind((1 << shift) - 1)], axis=1)
+            likely = np.zeros((2, base + made), bool)
+            likely[0, parts[:, 0]] = likely[1, parts[:, 1]] = True
+            some = likely[0, seq[heads]] & likely[1, seq[heads + 1]]
+            heads, pairs = heads[some], pairs[some]
             place = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
             hit = chosen[place] == pairs
             heads, place = heads[hit], place[hit]
@@ -138,11 +148,11 @@ def compress(ids: np.ndarray, base: int, least: int = 8, most_rules: int | None
             keep = np.ones(len(seq), bool)
             keep[heads + 1] = False
             seq = seq[keep]
-            rules.append(np.stack([chosen >> kind(shift), chosen & kind((1 << shift) - 1)], axis=1))
+            rules.append(parts)
             made += len(chosen)
         turn += 1
         if count == least:
-            quiet = 0 if len(chosen) and 1000 * len(heads) > len(seq) else quiet + 1
+            quiet = 0 if len(chosen) and 300 * len(heads) > len(seq) else quiet + 1
         elif turn % 3 == 0:
             count = max(least, count >> 3)
     table = np.concatenate(rules).astype(np.int64) if rules else np.zeros((0, 2), np.int64)
@@ -161,14 +171,22 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max(vocabulary.values()) + 1
         self._ends = np.zeros(self.size, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._known = Memory(self._one)
+        # The same merges without normalization, for words that it would leave as they are.
+        self._bare = Tokenizer(self.tokenizer.model)
+        self._bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        self._known = Memory(self._one, WORDS)
 
     def _one(self, word: str) -> bytes:
         core = word.rstrip(string.punctuation)
@@ -182,20 +200,25 @@ class WordEncoder:
         fresh = [w for w in cores.difference(self._known) if w and _plain(w)]
         for at in range(0, len(fresh), 4096):
             some = fresh[at : at + 4096]
-            ids = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
-            ids = np.array(ids, "<u4")
-            ends = np.flatnonzero(self._ends[ids]) + 1
+            text = " ".join(some).lower()
+            ids = np.array(self._bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()
             if len(ends) == len(some):
-                for word, part in zip(some, np.split(ids, ends)):
-                    self._known[word] = part.tobytes()
+                data = ids.tobytes()
+                for word, start, end in zip(some, [0, *ends], ends):
+                    self._known.keep(word, data[start:end])
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, words: list[str]) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self._known.__getitem__, text.replace("\n", " ").split(" ")))
+        return b"".join(map(self._known.__getitem__, words))
+
+
+def words_of(text: str | None) -> list[str]:
+    return (text or "").replace("\n", " ").split(" ")
 
 
 def _plain(word: str) -> bool:
-    """Letters that normalization leaves one to one."""
+    """Letters that normalization only sets in lower case, one by one."""
     return word.isalpha() and max(word) < "Ā"
 
 
@@ -231,11 +254,11 @@ def write(
 
         for batch in batches:
             for piece in slices(batch, "text", 2 << 20):
-                texts = [t or "" for t in piece.column("text").to_pylist()]
-                own.learn(set().union(*(t.replace("\n", " ").split(" ") for t in texts)))
+                texts = [words_of(t.as_py()) for t in piece.column("text")]
+                own.learn(set().union(*texts))
                 part = piece.column("part")[0].as_py()
-                for doc_id, text in zip(piece.column("doc_id").to_pylist(), texts):
-                    data = own.encode(text) + end
+                for doc_id, words in zip(piece.column("doc_id").to_pylist(), texts):
+                    data = own.encode(words) + end
                     ids.append(data)
                     doc_ids.append(doc_id)
                     lengths.append(len(data) // 4)
