@@ -21,6 +21,7 @@ import functools
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from feedarb.llm.shared import Memory, slices
 
 #: Texts that are decoded at a time.
 DECODED_ROWS = 256
+#: Words that a worker remembers, at most twice as many.
+WORDS = 300_000
 
 
 class BytePairCodec:
@@ -40,7 +43,7 @@ class BytePairCodec:
 
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.longest = max(map(len, ranks))
+        self._length = {rank: len(token) for token, rank in ranks.items()}
         self._find = regex.compile(pattern).findall
         self._automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
@@ -51,7 +54,7 @@ class BytePairCodec:
         self._shorter = Memory(self._next_prefix)
         self._pieces = Memory(self._encode_piece)
         self._words = Memory(self._encode_word)
-        self._inner = Memory(lambda word: self._encode_word(" " + word))
+        self._inner = Memory(lambda word: self._encode_word(" " + word), WORDS)
 
     def merge(self, data: bytes, never: int = -1) -> list[int]:
         """The plain definition: again and again the neighbours of lowest rank (but ``never``)."""
@@ -100,22 +103,22 @@ class BytePairCodec:
                 return found
         return -1
 
-    def _encode_piece(self, piece: str) -> tuple[int, ...]:
+    def _encode_piece(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.ranks.get(data)
-        return (whole,) if whole is not None else tuple(self.backtrack(data))
+        return array.array("i", (whole,) if whole is not None else self.backtrack(data)).tobytes()
 
     def backtrack(self, data: bytes) -> list[int]:
         best = [-1] * len(data)
         for end, (length, rank) in self._automaton.iter(data.decode("latin-1")):
             best[end - length + 1] = rank  # later ends are longer tokens
-        lengths, compatible = self.token, self._compatible
+        lengths, compatible = self._length, self._compatible
         given_up = bytearray(len(data) + 1)
         out: list[int] = []
         at, last, candidate = 0, -1, best[0]
         while at < len(data):
             while candidate >= 0:
-                end = at + len(lengths[candidate])
+                end = at + lengths[candidate]
                 if not given_up[end] and compatible[last, candidate]:
                     break
                 candidate = self._shorter[candidate]
@@ -126,29 +129,26 @@ class BytePairCodec:
             else:
                 given_up[at] = 1
                 dropped = out.pop()
-                at -= len(lengths[dropped])
+                at -= lengths[dropped]
                 last = out[-1] if out else -1
                 candidate = self._shorter[dropped]
         return out
 
-    def _encode_word(self, word: str) -> tuple[int, ...]:
-        pieces = self._pieces
-        return tuple(chain.from_iterable([pieces[p] for p in self._find(word)]))
+    def _encode_word(self, word: str) -> bytes:
+        return b"".join([self._pieces[p] for p in self._find(word)])
 
-    def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
+    def encode(self, text: str) -> bytes:
+        """Token ids as 32-bit integers."""
         if text.count(" ") + text.count("\n") != len(text.split()) - 1:
-            return list(chain.from_iterable(map(self._pieces.__getitem__, self._find(text))))
+            return b"".join(map(self._pieces.__getitem__, self._find(text)))
         # Single blanks and line ends between words: a blank always begins a piece and a
         # line end is one, so the words can be looked up.
-        words, inner = self._words, self._inner
-        out: list[int] = []
+        parts: list[bytes] = []
         for at, line in enumerate(text.split("\n")):
             first, *rest = line.split(" ")
-            out.extend(words["\n" + first if at else first])
-            out.extend(chain.from_iterable(map(inner.__getitem__, rest)))
-        return out
+            parts.append(self._words["\n" + first if at else first])
+            parts.extend(map(self._inner.__getitem__, rest))
+        return b"".join(parts)
 
 
 @functools.lru_cache(maxsize=2)
@@ -171,11 +171,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         own = codec(ranks_path, pattern)
         for batch in batches:
             for part in slices(batch, "text"):
-                offsets, values = [0], array.array("i")
-                for text in part.column("text"):
-                    values.extend(own.encode(text.as_py() or ""))
-                    offsets.append(len(values))
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+                found = [own.encode(text.as_py() or "") for text in part.column("text")]
+                ends = np.cumsum([0, *map(len, found)]) // 4
+                values = np.frombuffer(b"".join(found), np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encoded, "doc_id long, ids array<int>")
@@ -189,7 +188,11 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, DECODED_ROWS):
                 part = batch.slice(start, DECODED_ROWS)
-                texts = [b"".join([token[i] for i in x.as_py() or ()]) for x in part.column("ids")]
+                ids = part.column("ids")
+                ends = ids.offsets.to_numpy()
+                values = ids.values.to_numpy()[ends[0] : ends[-1]].tolist()
+                ends = (ends - ends[0]).tolist()
+                texts = [b"".join(map(token.__getitem__, values[a:b])) for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("ids"), pa.array(texts, pa.binary())],
                     ["doc_id", "ids", "decoded"],

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedarb.llm import byte_bpe, chat, extraction, mixing, sharding, simhash, token_files, toxicity
+from feedarb.llm import (
+    byte_bpe,
+    chat,
+    extraction,
+    mixing,
+    sharding,
+    simhash,
+    token_files,
+    topk,
+    toxicity,
+    vectors,
+)
 from feedarb.llm.shared import table
 from feedarb.plans import storage
 
@@ -49,6 +60,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    return topk.top_k(rows.where(F.col("vec_id") % 100 == 0), rows)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = storage.durable(mixing.sized(table(spark, sf_dir, "documents")), "sizes")
     return mixing.mixed(sizes, mixing.mix(sizes)).select(
@@ -64,6 +80,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
