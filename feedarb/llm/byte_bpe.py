@@ -201,10 +201,11 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return encoded.mapInArrow(decoded, "doc_id long, ids array<int>, decoded binary")
 
 
-def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def digests(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """doc_id, token count and digests of the ids and of the bytes they decode to."""
     return decode(encode(docs, ranks_path, pattern), ranks_path).select(
         "doc_id",
+        *["ids"] * with_ids,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
