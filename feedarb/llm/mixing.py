@@ -74,13 +74,18 @@ def sources(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
 
 
 def _copies() -> Column:
-    return F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
+    return F.coalesce(F.floor(_per_word()), F.lit(0))
+
+
+def _per_word() -> Column:
+    """How often a word of the source is wanted; null if it has none."""
+    return F.try_divide(F.col("target"), F.col("source_size"))
 
 
 def _rank(seed: int) -> Column:
     """Pareto rank: odds of the document's number over odds of the part wanted."""
     u = unit(F.col("doc_id"), seed=seed)
-    p = F.col("target") / F.col("source_size") - F.col("whole")
+    p = _per_word() - F.col("whole")
     return F.when((p > 0) & (F.col("size") > 0), (u / (1 - u)) / (p / (1 - p)))
 
 

@@ -29,7 +29,7 @@ BUCKETS = 1 << 20
 TOXIC, CLEAN = 6_000, 14_000
 #: Lengths of the beginnings that words may share.
 STEMS = (4, 6)
-ALPHA, BETA, L1, L2, PASSES = 1.0, 1.0, 3.0, 1.0, 4
+ALPHA, BETA, L1, L2, PASSES = 2.0, 1.0, 3.0, 1.0, 6
 #: Characters of a text that are worked on at a time.
 BLOCK = 1 << 20
 
@@ -99,7 +99,8 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLE
     for label, most in ((1, toxic), (0, clean)):
         part = known.where(F.col("toxic") == label).orderBy(order, "doc_id").limit(most)
         sample = part if sample is None else sample.union(part)
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").select(order.alias("turn"), "text", "toxic")
+    # The sample's size is bounded by the two limits.
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(order.alias("turn"), "text", "toxic")
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLE
 
     learned_rows = (
         rows.mapInArrow(places, "turn long, toxic int, places binary")
-        .coalesce(1)
+        .repartition(1)
         .mapInArrow(learned, "place long, weight double")
         .toArrow()
     )
