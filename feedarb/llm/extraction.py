@@ -6,7 +6,7 @@ they lean in the sample.  A page is then decoded as a whole: what is below a rej
 is rejected, and the set of kept elements with the highest likelihood wins, found from the
 leaves up.  So a block is kept only with everything above it.
 
-The trees are fitted on ``SAMPLE`` pages at most, those of least hash.  No labels are needed:
+The trees are fitted on about ``SAMPLE`` pages at most, drawn by the hash of their ids.  No labels are needed:
 pages with an ``article`` or ``main`` element say by their own markup which blocks are text
 (inside) and which are not (outside, or in nav, aside, footer, form and the like).  To judge
 other markup too, the blocks of these pages are also set into ``VARIANTS`` other layouts each,
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedarb.llm.dom import Page, describe, parse
-from feedarb.llm.shared import slices
+from feedarb.llm.shared import slices, unit
 
 SAMPLE = 250
 VARIANTS = 3
@@ -232,8 +232,9 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> tuple[dict[str, float], str]:
     from pyspark.ml.functions import array_to_vector
 
     spark = pages.sparkSession
-    order = F.xxhash64(F.lit(11), "page_id")
-    rows = pages.where("html is not null").select("page_id", "html").orderBy(order, "page_id").limit(sample).collect()
+    share = sample / max(1, pages.select("page_id").count())
+    drawn = pages.where((unit(F.col("page_id"), F.col("html"), seed=11) < share) & F.col("html").isNotNull())
+    rows = sorted(drawn.select("page_id", "html").collect(), key=lambda r: (r["page_id"] is None, r["page_id"] or 0, r["html"]))
     found = [e for seed, row in enumerate(rows) for e in examples(row["html"], seed)]
     if not found:  # nothing to learn from in the table
         draw = random.Random(0)

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 #: Words: runs of anything but space and the controls 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task works on at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Results that a Memory holds, at most twice as many.
-MEMORY = 150_000
+MEMORY = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

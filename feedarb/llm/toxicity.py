@@ -5,8 +5,8 @@ with one word between (skip-grams), each hashed to one of ``BUCKETS`` places.  F
 the-regularized-leader learns with a rate for each place and an L1 term that leaves most
 weights at zero; the others, a few thousand at most 2**20, go to all tasks.
 
-It is fitted in one task on a bounded sample: ``TOXIC`` and ``CLEAN`` labelled documents at
-most, those of least hash.  Rows without a label, or with ids or labels that are null, are
+It is fitted in one task on a bounded sample: about ``TOXIC`` and ``CLEAN`` labelled documents
+at most, drawn by the hash of their ids.  Rows without a label, or with ids or labels that are null, are
 not learned from; without any row to learn from all scores are 0.27 (label 0).
 """
 
@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedarb.llm.shared import Memory
+from feedarb.llm.shared import Memory, unit
 
 BUCKETS = 1 << 20
-#: Most labelled documents of each kind that the model is fitted on.
-TOXIC, CLEAN = 6_000, 14_000
+#: Labelled documents of each kind that the model is fitted on, about.
+TOXIC, CLEAN = 5_000, 10_000
 #: Lengths of the beginnings that words may share.
 STEMS = (4, 6)
 ALPHA, BETA, L1, L2, PASSES = 2.0, 1.0, 3.0, 1.0, 6
@@ -93,14 +93,13 @@ def sigmoid(x: float) -> float:
 
 def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> np.ndarray:
     """Weights by place; ``labels`` has doc_id and toxic (0 or 1)."""
-    order = F.xxhash64(F.lit(7), "doc_id")
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sample = None
-    for label, most in ((1, toxic), (0, clean)):
-        part = known.where(F.col("toxic") == label).orderBy(order, "doc_id").limit(most)
-        sample = part if sample is None else sample.union(part)
-    # The sample's size is bounded by the two limits.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(order.alias("turn"), "text", "toxic")
+    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    share = F.when(F.col("toxic") == 1, toxic / max(1, counts.get(1, 0))).otherwise(clean / max(1, counts.get(0, 0)))
+    # The sample's size is bounded by the two shares.
+    sample = F.broadcast(known.where(unit(F.col("doc_id"), seed=7) < share))
+    rows = docs.select("doc_id", "text").join(sample, "doc_id")
+    rows = rows.select(F.xxhash64(F.lit(7), "doc_id").alias("turn"), "text", "toxic")
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -10,7 +10,7 @@ members of later blocks and the visitors pass in chunks, so it never holds more,
 vectors share a cell.  It gives sums of links per vector and edges of a spanning forest where
 links are dense, not the pairs.  Components and one representative of each follow from these.
 
-Centroids are fitted on ``SAMPLE`` classes at most, those of least hash; all rows are indexed.
+Centroids are fitted on about ``SAMPLE`` classes at most, drawn by hash; all rows are indexed.
 Vectors that are null, of no length, or hold null or non-finite components link with nothing,
 as do those without a label; vectors of different dimension never link.
 """
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedarb.llm.components import components
+from feedarb.llm.shared import unit
 from feedarb.plans.storage import durable
 
 SAMPLE = 16_384
@@ -214,7 +215,8 @@ def near_duplicates(rows: DataFrame, least: float = 0.98) -> DataFrame:
     )
     reach = float(np.sqrt(2 - 2 * least)) / 2
     total = classes.count()
-    sample = classes.select("dims", "vector").orderBy(F.xxhash64("cls")).limit(SAMPLE).toArrow().combine_chunks()
+    drawn = classes.where(unit(F.col("cls"), F.col("label"), seed=3) < SAMPLE / max(1, total))
+    sample = drawn.orderBy("cls", "label").select("dims", "vector").toArrow().combine_chunks()
     by_size: dict[int, np.ndarray] = {}
     sizes = sample.column("dims").to_numpy()
     for dims in np.unique(sizes).tolist():
