@@ -22,9 +22,19 @@ def parse_whole(text: Column) -> Column:
     return F.when(F.size(F.json_object_keys(wrapped)) == 2, F.try_parse_json(wrapped))
 
 
+def plain_numbers(text: Column) -> Column:
+    """0 for each bare NaN or Infinity, which many writers put out and the parser refuses."""
+    return F.regexp_replace(text, r"(?<=[:\[,\s])-?(NaN|Infinity)(?=\s*[,\]}])", "0")
+
+
 def is_json_object(text: Column) -> Column:
-    """The whole text is one JSON object."""
-    return parse_whole(text).isNotNull() & F.json_object_keys(text).isNotNull()
+    """The whole text is one JSON object; names may repeat, numbers may be NaN or Infinity."""
+
+    def whole(candidate: Column) -> Column:
+        keys = F.json_object_keys(_wrapped(candidate))
+        return F.coalesce((F.size(keys) == 2) & F.json_object_keys(candidate).isNotNull(), F.lit(False))
+
+    return whole(text) | whole(plain_numbers(text))
 
 
 def member_kind(parsed: Column, name: str) -> Column:

@@ -16,11 +16,13 @@ from feedarb.operators.arbitrate import drop_ignored, evictions
 from feedarb.operators.tally import verdicts
 from feedarb.operators.windows import roster
 from feedarb.params import ArbitrationParams
-from feedarb.plans.ordered import BLOCK_WIDTH
+from feedarb.plans.ordered import BLOCK_WIDTH, next_marked
 from feedarb.plans.storage import durable
 from feedarb.sources.landing import GROUP
 
 WINDOW = (*GROUP, "window_start_us", "window_end_us")
+# A minute of places in a run of instants: two for each microsecond.
+PLACES = 2 * 60 * 1_000_000
 
 
 def ignored_from(named: DataFrame, confirmed: DataFrame | None = None) -> DataFrame:
@@ -45,19 +47,24 @@ def gate_closures(
     ``feed`` holds the copies without ignored ones, ``sightings`` its roster.
 
     The fleet is a running count: +1 when a source is first seen, -1 when a seen
-    source is named.  The gate reopens with the sighting that restores the count,
+    source is named for the first time.  The gate closes again with every later naming
+    of a source that is gone already.  It reopens with the sighting that restores the count,
     or with the next copy if naming left enough sources.  Fleet changes number as
     many as machines; copies are only aggregated.
     """
-    first_named = ignored_from(named).groupBy(*GROUP, "source_id").agg(F.min("from_us").alias("at_us"))
-    closing = first_named.join(
-        sightings.select(*GROUP, "source_id", "first_us"), [*GROUP, "source_id"], "left"
-    ).select(
-        *GROUP,
-        "at_us",
-        F.lit(0).alias("step"),
-        "source_id",
-        F.when(F.col("first_us") < F.col("at_us"), -1).otherwise(0).alias("change"),
+    namings = ignored_from(named).withColumnRenamed("from_us", "at_us").distinct()
+    first_named = namings.groupBy(*GROUP, "source_id").agg(F.min("at_us").alias("_gone_us"))
+    leaves = (F.col("at_us") == F.col("_gone_us")) & (F.col("first_us") < F.col("at_us"))
+    closing = (
+        namings.join(first_named, [*GROUP, "source_id"])
+        .join(sightings.select(*GROUP, "source_id", "first_us"), [*GROUP, "source_id"], "left")
+        .select(
+            *GROUP,
+            "at_us",
+            F.lit(0).alias("step"),
+            "source_id",
+            F.when(leaves, -1).otherwise(0).alias("change"),
+        )
     )
     seen = sightings.select(
         *GROUP,
@@ -71,7 +78,7 @@ def gate_closures(
         F.desc("at_us"), F.desc("step"), F.desc("source_id")
     )
     enough = F.col("_present") >= params.expected_sources
-    fleet = (
+    fleet = durable(
         closing.unionByName(seen)
         .withColumn(
             "_present",
@@ -83,9 +90,10 @@ def gate_closures(
                 backwards.rowsBetween(W.unboundedPreceding, -1)
             ),
         )
-        .withColumn("_first_us", F.min("at_us").over(W.partitionBy(*GROUP)))
+        .withColumn("_first_us", F.min("at_us").over(W.partitionBy(*GROUP))),
+        "fleet",
     )
-    next_copy = _first_copy_after(feed, first_named)
+    next_copy = _first_copy_after(feed, namings)
     ends = sightings.groupBy(*GROUP).agg(F.max("last_us").alias("last_us"))
     reopened = (
         fleet.where(F.col("step") == 0)
@@ -112,35 +120,20 @@ def gate_closures(
     return cold.unionByName(reopened)
 
 
-def _first_copy_after(feed: DataFrame, first_named: DataFrame) -> DataFrame:
+def _first_copy_after(feed: DataFrame, closings: DataFrame) -> DataFrame:
     """Arrival of the first copy at or after each closing.
 
-    Each copy falls into one epoch between closings of its group (one per removed
-    machine), so copies are combined per epoch before any shuffle.
+    Closings and the instants of copies make one ordered run, a closing before the
+    copies of its instant; the next copy in it is a block lookup.
     """
-    closings = first_named.groupBy(*GROUP).agg(
-        F.array_sort(F.collect_set("at_us")).alias("_closings")
-    )
-    epochs = (
-        feed.select(*GROUP, "arr_us")
-        .join(closings, [*GROUP])
-        .withColumn(
-            "at_us", F.array_max(F.filter("_closings", lambda c: c <= F.col("arr_us")))
-        )
-        .groupBy(*GROUP, "at_us")
-        .agg(F.min("arr_us").alias("_epoch_us"))
-    )
-    # An epoch without copies takes the first copy of the next one.
-    later = (
-        W.partitionBy(*GROUP).orderBy(F.desc("at_us")).rowsBetween(W.unboundedPreceding, 0)
-    )
-    return (
-        first_named.select(*GROUP, "at_us")
-        .distinct()
-        .join(epochs, [*GROUP, "at_us"], "left")
-        .withColumn("_next_us", F.min("_epoch_us").over(later))
-        .drop("_epoch_us")
+    instants = feed.select(*GROUP, F.col("arr_us").alias("at_us")).distinct()
+    run = (
+        instants.withColumn("_copy", F.lit(1))
+        .unionByName(closings.select(*GROUP, "at_us").distinct().withColumn("_copy", F.lit(0)))
+        .withColumn("_place", 2 * F.col("at_us") + F.col("_copy"))
     )
+    found = next_marked(run, GROUP, "_place", F.col("_copy") == 1, ["at_us"], "_next", PLACES)
+    return found.where("_copy = 0").select(*GROUP, "at_us", F.col("_next.at_us").alias("_next_us"))
 
 
 def _slots(start_us: Column, end_us: Column, width_us: int) -> Column:

@@ -159,17 +159,41 @@ def attempted(plan: DataFrame) -> DataFrame:
 
 
 def with_outcomes(plan: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Attempts joined to what was recorded about them; both sides are one per verdict."""
+    """Attempts joined to what was recorded about them; both sides are one per verdict.
+
+    Without exactly one running machine there is nothing to terminate: an attempt that
+    got as far as that ends there as failed, whatever was recorded.
+    """
     recorded = outcomes.select(
         *GROUP,
         "source_id",
         F.col("verdict_offset").alias("offset"),
-        "stage",
-        "ok",
-        F.col("instance_id").alias("removed_instance_id"),
-        "terminated_us",
+        F.col("stage").alias("_stage"),
+        F.col("ok").alias("_ok"),
+        F.col("terminated_us").alias("_terminated_us"),
     )
-    return attempted(plan).join(recorded, [*GROUP, "source_id", "offset"], "left")
+    stopped = (
+        (F.col("planned_action") == "terminate")
+        & ~resolved()
+        & F.coalesce("_ok", F.lit(False))
+    )
+    return (
+        attempted(plan)
+        .join(recorded, [*GROUP, "source_id", "offset"], "left")
+        .withColumns(
+            {
+                "stage": F.when(stopped, F.lit("terminate")).otherwise(F.col("_stage")),
+                "ok": F.col("_ok") & ~stopped,
+                "terminated_us": F.when(~stopped, F.col("_terminated_us")),
+            }
+        )
+        .drop("_stage", "_ok", "_terminated_us")
+    )
+
+
+def resolved() -> Column:
+    """Is exactly one machine known for the node?"""
+    return F.coalesce(F.col("identified_by").isin("provider_id", "address"), F.lit(False))
 
 
 def confirmations(settled: DataFrame) -> DataFrame:
@@ -178,7 +202,7 @@ def confirmations(settled: DataFrame) -> DataFrame:
     return settled.where(done).select(
         *GROUP,
         "source_id",
-        F.col("removed_instance_id").alias("instance_id"),
+        "instance_id",
         "terminated_us",
         "correlation_id",
     )

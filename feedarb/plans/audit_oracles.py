@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedarb.plans.oracles import FIRSTS, G, K, OBSERVED, feed, tick, verdict_select
+from feedarb.plans.oracles import FIRSTS, G, K, OBSERVED, ROSTER, evicted, feed, tick, verdict_select
 from feedarb.plans.settings import OBSERVE, STALL
 from feedarb.sources import derived as d
 
@@ -93,7 +93,8 @@ outcomes as (
   from ev join log using (event_id) where {d.NAMING_VERDICT}),
 handled as (
   select {G}, source_id, min(verdict_offset) as handled_offset from outcomes
-  where ok and source_id in (select name from ready where label_problem is null and identified_by <> 'unidentifiable')
+  where ok and source_id in (select name from ready where label_problem is null
+    and identified_by in ('provider_id', 'address'))
   group by all),
 actions as (
   select m.*, coalesce(m.message_type = 'verdict' and m.slowest_source_id is not null
@@ -119,7 +120,10 @@ plan as (
     label_problem, private_ip, ready.instance_id, identified_by
   from actions left join ready on name = slowest_source_id where act),
 settled as (
-  select plan.* exclude (instance_id), stage, ok, outcomes.instance_id, terminated_us
+  select plan.*,
+    case when ok and identified_by not in ('provider_id', 'address') then 'terminate' else stage end as stage,
+    ok and identified_by in ('provider_id', 'address') as ok,
+    case when identified_by in ('provider_id', 'address') then terminated_us end as terminated_us
   from plan left join outcomes on outcomes.stream_type = plan.stream_type and outcomes.symbol = plan.symbol
     and outcomes.source_id = plan.source_id and verdict_offset = "offset"
   where planned_action = 'terminate'),
@@ -129,9 +133,10 @@ named as (
       and c."offset" > v."offset") as confirmed_offset
   from decoded v where v.message_type = 'verdict' and v.slowest_source_id is not null)"""
 
-RETIRED = f"""retired as (
-  select distinct {G}, {d.SOURCE_NAME} as source_id, {d.FEED_START_US} + (s + 1) * {d.SERVICE_US}::BIGINT as from_us
-  from (select {G}, unnest([0, 1]) as s from ev)),
+RETIRED = f"""namings as (
+  select distinct {G}, {d.NAMED_SOURCE} as source_id, {d.NAMED_AT} as named_us
+  from (select {G}, unnest([0, 1, 2]) as naming from ev)),
+retired as (select {G}, source_id, min(named_us) as from_us from namings group by all),
 flagged as (
   select copies.*, coalesce(arr_us >= from_us, false) as ignored
   from copies left join retired using ({G}, source_id)),
@@ -143,7 +148,7 @@ CLOSURES = f"""{RETIRED},
 ends as (select {G}, max(last_us) as last_us, min(first_us) as started_us from fleet group by all),
 closings as (
   select {G}, started_us as closed_us, null as gone from ends
-  union all select {G}, from_us, source_id from retired),
+  union all select distinct {G}, named_us, source_id from namings),
 restored as (
   select c.stream_type, c.symbol, c.closed_us, f.first_us,
     row_number() over (partition by c.stream_type, c.symbol, c.closed_us order by f.first_offset) as nth
@@ -165,6 +170,29 @@ closures as (
 
 STALL_US = f"{int(STALL.stall_warn_seconds)}::BIGINT * 1000000"
 
+STALLS = f"""with {feed()}, {CLOSURES},
+warned as (select {G}, closed_us,
+    unnest(generate_series({tick(f'closed_us + {STALL_US}')}, until_us, {STALL_US})) as emitted_us
+  from closures),
+gone as (select w.stream_type, w.symbol, w.emitted_us, string_agg(source_id, ',' order by source_id) as ignored_sources
+  from warned w join retired r on r.stream_type = w.stream_type and r.symbol = w.symbol and r.from_us <= w.emitted_us
+  group by all),
+present as (select f.*, r.from_us from fleet f left join retired r using ({G}, source_id))
+select w.stream_type, w.symbol, w.closed_us, w.emitted_us, count(f.source_id) as sources_confirmed,
+  coalesce(any_value(g.ignored_sources), '') as ignored_sources,
+  {STALL.expected_sources}::BIGINT as sources_expected, w.emitted_us - w.closed_us as stalled_for_us
+from warned w left join gone g on g.stream_type = w.stream_type and g.symbol = w.symbol
+  and g.emitted_us = w.emitted_us
+left join present f on f.stream_type = w.stream_type and f.symbol = w.symbol and f.first_us < w.emitted_us
+  and (f.from_us is null or f.from_us > w.emitted_us)
+group by w.stream_type, w.symbol, w.closed_us, w.emitted_us"""
+
+
+def seconds(us: str) -> str:
+    """Epoch seconds with six places, as the wire has them."""
+    return f"({us} // 1000000) || '.' || lpad(({us} % 1000000)::varchar, 6, '0')"
+
+
 CAPTURED = f"""lines as (
   select event_id, lower({d.CAPTURED_STREAM}) as stream_type, 'sym' || (user_id % 3) as symbol,
     replace({d.CAPTURED_LINE}, '{{f}}', {d.CAPTURED_ID_FIELD}) as line from events),
@@ -196,6 +224,20 @@ seen as (
 select {K}, source_id, seq_offset,
   case when stream_type is null or symbol is null or source_id is null then 'missing_header'
     when msg_key is null then 'missing_key' end as drop_reason from seen""",
+        "rejected_messages": f"""with {feed()}
+select 'market-data-raw' as topic, 0 as partition, seq_offset as "offset",
+  case when {d.RAW_NO_SOURCE} or {d.RAW_SYMBOL} = '' then 'missing_header' else 'missing_key' end as drop_reason,
+  {d.RAW_KEY} as key
+from copies where {d.RAW_NO_SOURCE} or {d.RAW_SYMBOL} = '' or {d.RAW_KEY} is null""",
+        "arbitrated_rows": f"""with {feed()},
+good as (select * from copies where not ({d.RAW_NO_SOURCE} or {d.RAW_SYMBOL} = '' or {d.RAW_KEY} is null)),
+first as (select {K}, arg_min(source_id, seq_offset) as source_id, any_value(event_id) as event_id,
+    any_value(event_id % 53 = 0) as twice from good group by all)
+select msg_key as key, '{{"id":' || event_id || '}}' as value,
+  'source_id=' || source_id || ',stream_type=' || stream_type || ',symbol=' || symbol
+    || case when twice then ',symbol=second' else '' end as headers,
+  (('0x' || substr(sha256(lower(stream_type) || chr(0) || lower(symbol)), 1, 16))::UBIGINT % 6)::INT as partition
+from first""",
         "message_keys": f"with {CAPTURED} select event_id, {K}, drop_reason from shaped",
         "dropped_by_reason": f"""with {CAPTURED}, {feed()},
 raw as (select case when {d.RAW_NO_SOURCE} or {d.RAW_SYMBOL} = '' then 'missing_header'
@@ -229,22 +271,14 @@ def recorded_sql() -> dict[str, str]:
 select {K}, min(seq_offset) as first_offset, arg_min(source_id, seq_offset) as source_id,
   arg_min(arr_us, seq_offset) as arr_us from flagged where not ignored group by all""",
         "gate_closures": f"with {feed()}, {CLOSURES} select * from closures",
-        "gate_stalls": f"""with {feed()}, {CLOSURES},
-warned as (select {G}, closed_us,
-    unnest(generate_series({tick(f'closed_us + {STALL_US}')}, until_us, {STALL_US})) as emitted_us
-  from closures),
-gone as (select w.stream_type, w.symbol, w.emitted_us, string_agg(source_id, ',' order by source_id) as ignored_sources
-  from warned w join retired r on r.stream_type = w.stream_type and r.symbol = w.symbol and r.from_us <= w.emitted_us
-  group by all),
-present as (select f.*, r.from_us from fleet f left join retired r using ({G}, source_id))
-select w.stream_type, w.symbol, w.closed_us, w.emitted_us, count(f.source_id) as sources_confirmed,
-  coalesce(any_value(g.ignored_sources), '') as ignored_sources,
-  {STALL.expected_sources}::BIGINT as sources_expected, w.emitted_us - w.closed_us as stalled_for_us
-from warned w left join gone g on g.stream_type = w.stream_type and g.symbol = w.symbol
-  and g.emitted_us = w.emitted_us
-left join present f on f.stream_type = w.stream_type and f.symbol = w.symbol and f.first_us < w.emitted_us
-  and (f.from_us is null or f.from_us > w.emitted_us)
-group by w.stream_type, w.symbol, w.closed_us, w.emitted_us""",
+        "stalls_encoded": f"""with stalls as ({STALLS})
+select stream_type as key, '{{"type":"gate_stalled","schema_version":1,"stream_type":"' || stream_type
+  || '","symbol":"' || symbol || '","sources_confirmed":' || sources_confirmed || ',"sources_expected":'
+  || sources_expected || ',"stalled_for_seconds":' || {seconds('stalled_for_us')} || ',"ignored_sources":['
+  || case when ignored_sources = '' then '' else '"' || replace(ignored_sources, ',', '","') || '"' end
+  || '],"emitted_at":' || {seconds('emitted_us')} || '}}' as value,
+  case stream_type when 'trade' then 0 when 'depth' then 1 else 2 end as partition from stalls""",
+        "gate_stalls": STALLS,
         "feed_counters": f"""with {feed()}, {RETIRED},
 ranked as (select *, row_number() over (partition by {K}, ignored order by seq_offset) as nth from flagged)
 select {G}, count(*) as consumed, count(*) filter (where not ignored and nth = 1) as forwarded,
@@ -252,11 +286,49 @@ select {G}, count(*) as consumed, count(*) filter (where not ignored and nth = 1
   count(*) filter (where ignored) as ignored from ranked group by all""",
         "verdict_recheck": f"""with {OBSERVED},
 told as ({verdict_select('wins', G + ', window_no', OBSERVE.minimum_events)}),
-ended as (select {G}, min(window_no) as last_no from told where slowest_source_id is not null group by all)
-select t.stream_type, t.symbol, window_start_us, window_end_us, slowest_source_id, total_events, sources_seen,
-  reason, total_events as recomputed_events, slowest_source_id as recomputed_slowest, true as matched
-from told t join windows using ({G}, window_no) left join ended e on e.stream_type = t.stream_type
-  and e.symbol = t.symbol where last_no is null or window_no <= last_no""",
+log as (
+  select {G}, window_no, window_start_us, window_end_us, slowest_source_id, sources_seen, reason,
+    ({d.RECORDED_TOTAL})::BIGINT as total_events
+  from told join windows using ({G}, window_no)),
+gone as (
+  select {G}, slowest_source_id as source_id, min(window_end_us) as from_us
+  from log where slowest_source_id is not null group by all),
+remaining as (
+  select c.* from copies c left join gone g on g.stream_type = c.stream_type and g.symbol = c.symbol
+    and g.source_id = c.source_id where from_us is null or arr_us < from_us),
+left_over as (
+  with copies as (select * from remaining), {FIRSTS}, {evicted(OBSERVE.expected_sources, OBSERVE.lag)}
+  select * from evicted),
+crew as (with copies as (select * from remaining), {ROSTER} select * from roster),
+opened as (
+  select l.stream_type, l.symbol, l.window_start_us,
+    coalesce(min(case when c.source_id is not null then r.seq_offset end), min(r.seq_offset)) as open_offset
+  from log l join remaining r on r.stream_type = l.stream_type and r.symbol = l.symbol and r.arr_us = l.window_start_us
+    left join crew c on c.stream_type = r.stream_type and c.symbol = r.symbol and c.first_offset = r.seq_offset
+  where not exists (select 1 from log b where b.stream_type = l.stream_type and b.symbol = l.symbol
+    and b.window_end_us = l.window_start_us and b.slowest_source_id is null)
+  group by all),
+counted as (
+  select l.stream_type, l.symbol, l.window_no, e.winner as source_id, count(*) as n
+  from log l left join opened o using ({G}, window_start_us)
+    join left_over e on e.stream_type = l.stream_type and e.symbol = l.symbol
+    and e.evict_us >= l.window_start_us and e.evict_us < l.window_end_us
+    and e.evict_offset >= coalesce(o.open_offset, e.evict_offset)
+  group by all),
+present as (
+  select l.stream_type, l.symbol, l.window_no, c.source_id
+  from log l join crew c on c.stream_type = l.stream_type and c.symbol = l.symbol and c.first_us < l.window_end_us
+    left join gone g on g.stream_type = c.stream_type and g.symbol = c.symbol and g.source_id = c.source_id
+  where g.from_us is null or g.from_us > l.window_start_us),
+again_wins as (
+  select {G}, window_no, source_id, coalesce(n, 0) as wins
+  from present full join counted using ({G}, window_no, source_id)),
+again as ({verdict_select('again_wins', G + ', window_no', OBSERVE.minimum_events)})
+select l.* exclude (window_no), a.total_events as recomputed_events, a.slowest_source_id as recomputed_slowest,
+  a.window_no is not null and a.slowest_source_id is not distinct from l.slowest_source_id
+    and a.total_events is not distinct from l.total_events and a.sources_seen is not distinct from l.sources_seen
+    and a.reason is not distinct from l.reason as matched
+from log l left join again a using ({G}, window_no)""",
         "audit_encoded": f"""with {OBSERVED},
 told as ({verdict_select('wins', G + ', window_no', OBSERVE.minimum_events)}),
 maps as (select {G}, window_no, string_agg('"' || source_id || '":' || wins, ',' order by source_id) as counts
@@ -300,6 +372,18 @@ select {G}, max(terminated_at) as last_removal_at from decoded where message_typ
 select name, provider_instance, name_ip, case when provider_instance is null then name_ip end as lookup_ip from known""",
         "verdict_actions": f"""with {ACTIONS} select partition, "offset", act, action_reason from actions""",
         "removal_plan": f"""with {ACTIONS} select * exclude (correlation_id) from plan""",
+        "removal_plan_modes": f"""with {ACTIONS},
+tried as (select a.partition, a."offset", a.slowest_source_id as source_id, name, label_problem
+  from actions a left join ready on name = slowest_source_id where act)
+select 'dry_run' as mode, partition, "offset", source_id, 'dry_run' as planned_action from tried
+union all select 'cordon_only', partition, "offset", source_id, case when name is null then 'refused:node_not_found'
+  when label_problem is not null then 'refused:ineligible_label' else 'cordon_drain' end from tried""",
+        "confirmations_encoded": f"""with {ACTIONS}
+select stream_type as key, '{{"type":"kill_confirmed","schema_version":1,"stream_type":"' || stream_type
+  || '","symbol":"' || symbol || '","source_id":"' || source_id || '","instance_id":"' || instance_id
+  || '","terminated_at":' || {seconds('terminated_us')} || ',"correlation_id":'
+  || coalesce('"' || correlation_id || '"', 'null') || '}}' as value,
+  case stream_type when 'trade' then 0 when 'depth' then 1 else 2 end as partition from settled where ok""",
         "confirmations": f"""with {ACTIONS}
 select {G}, source_id, instance_id, terminated_us, correlation_id from settled where ok""",
         "removal_counters": f"""with {ACTIONS},

@@ -20,13 +20,12 @@ from feedarb.operators import (
     tally,
     windows,
 )
+from feedarb.params import RemovalParams
 from feedarb.plans.settings import AUDIT_PARTITIONS, OBSERVE, REMOVAL, STALL, TOPIC_PARTITIONS
 from feedarb.plans.storage import durable
-from feedarb.sources import derived
+from feedarb.sources import derived, kafka
 from feedarb.sources.catalogue import stream_catalogue
 from feedarb.sources.landing import GROUP
-from feedarb.streaming.replay import replay
-from feedarb.streaming.replay import state_snapshot as snapshot
 
 Report = Callable[[SparkSession, str], DataFrame]
 KEY = arbitrate.KEY
@@ -232,7 +231,11 @@ def audit_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         )
     )
-    return audit.encode(messages, "verdict", AUDIT_PARTITIONS).select(
+    return _as_text(audit.encode(messages, "verdict", AUDIT_PARTITIONS))
+
+
+def _as_text(rows: DataFrame) -> DataFrame:
+    return rows.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         "partition",
@@ -301,12 +304,12 @@ def node_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _actions(spark: SparkSession, sf_dir: str, decoded: DataFrame) -> DataFrame:
     """Actions with earlier successful removals taken into account.
 
-    A removal counts as handled only if it was attempted at all, that is if the
-    node could be removed.
+    A removal counts as handled only if the node could be removed and its machine
+    was found.
     """
     ready = removal.inventory(
         derived.nodes(spark, sf_dir), derived.instances(spark, sf_dir), REMOVAL
-    ).where(F.col("label_problem").isNull() & (F.col("identified_by") != "unidentifiable"))
+    ).where(F.col("label_problem").isNull() & removal.resolved())
     tried = derived.removal_outcomes(spark, sf_dir).join(
         ready.select(F.col("node_name").alias("source_id")), "source_id", "left_semi"
     )
@@ -319,15 +322,33 @@ def verdict_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _plan(spark: SparkSession, sf_dir: str, decoded: DataFrame) -> DataFrame:
+def _plan(
+    spark: SparkSession, sf_dir: str, decoded: DataFrame, params: RemovalParams = REMOVAL
+) -> DataFrame:
     return removal.removal_plan(
         _actions(spark, sf_dir, decoded),
         derived.nodes(spark, sf_dir),
         derived.instances(spark, sf_dir),
-        REMOVAL,
+        params,
     )
 
 
+def removal_plan_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a dry run and a job that only cordons would do about the same verdicts."""
+    decoded = durable(_decoded(spark, sf_dir), "decoded")
+    modes = {
+        "dry_run": RemovalParams(dry_run=True, terminate_enabled=True),
+        "cordon_only": RemovalParams(dry_run=False, terminate_enabled=False),
+    }
+    plans = [
+        _plan(spark, sf_dir, decoded, params).select(
+            F.lit(mode).alias("mode"), "partition", "offset", "source_id", "planned_action"
+        )
+        for mode, params in modes.items()
+    ]
+    return plans[0].unionByName(plans[1])
+
+
 def removal_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plan(spark, sf_dir, _decoded(spark, sf_dir)).select(
         "partition",
@@ -348,6 +369,50 @@ def confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal.confirmations(settled)
 
 
+def confirmations_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confirmations as rows of the audit topic."""
+    messages = confirmations(spark, sf_dir).withColumn(
+        "terminated_at", audit.wire_seconds(F.col("terminated_us"))
+    )
+    return _as_text(audit.encode(messages, "kill_confirmed", AUDIT_PARTITIONS))
+
+
+def stalls_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stall warnings as rows of the audit topic."""
+    named, feed, sightings = _filtered(spark, sf_dir)
+    closures = recorded.gate_closures(feed, sightings, named, STALL)
+    messages = windows.stall_warnings(
+        closures, sightings, recorded.ignored_from(named), STALL
+    ).withColumns(
+        {
+            "stalled_for_seconds": audit.wire_seconds(F.col("stalled_for_us")),
+            "emitted_at": audit.wire_seconds(F.col("emitted_us")),
+        }
+    )
+    return _as_text(audit.encode(messages, "gate_stalled", AUDIT_PARTITIONS))
+
+
+def arbitrated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First copies of good broker messages as rows of the arbitrated topic."""
+    good = ingest.validate_raw(derived.raw_copies(spark, sf_dir)).where("drop_reason is null")
+    first = arbitrate.first_copies(
+        good.withColumn("seq_offset", F.col("offset")), ("value", "headers")
+    )
+    return kafka.arbitrated_rows(first, TOPIC_PARTITIONS).select(
+        F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"),
+        F.array_join(F.transform("headers", lambda h: F.concat(h["key"], F.lit("="), h["value"].cast("string"))), ",").alias("headers"),
+        "partition",
+    )
+
+
+def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broker messages set aside, with where they were read and why."""
+    return ingest.rejected_messages(derived.raw_copies(spark, sf_dir)).select(
+        "topic", "partition", "offset", "drop_reason", F.col("key").cast("string").alias("key")
+    )
+
+
 def removal_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = durable(_plan(spark, sf_dir, _decoded(spark, sf_dir)), "plan")
     settled = removal.with_outcomes(plan, derived.removal_outcomes(spark, sf_dir))
@@ -371,47 +436,21 @@ def confirm_latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def verdict_recheck(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recorded verdicts recomputed: each group's log up to its first named source."""
+    """Every window of a recorded log, recomputed with the sources it names left out from then on.
+
+    The log was kept without leaving anybody out, and some of its totals are wrong.
+    """
     window = [*GROUP, "window_no"]
     feed = derived.copies(spark, sf_dir, redelivery=False)
     gates = windows.gate_opening(windows.roster(feed), OBSERVE.expected_sources)
-    naming = F.when(F.col("slowest_source_id").isNotNull(), F.col("window_no"))
     log = (
         tally.verdicts(window_wins(spark, sf_dir), window, OBSERVE.minimum_events)
         .join(windows.observe_windows(gates, OBSERVE), window)
-        .withColumn("_last", F.min(naming).over(W.partitionBy(*GROUP)))
-        .where(F.coalesce(F.col("window_no") <= F.col("_last"), F.lit(True)))
-        .drop("_last")
+        .withColumn("total_events", F.expr(derived.RECORDED_TOTAL))
     )
     return recorded.recheck_verdicts(feed, durable(log, "log"), None, OBSERVE)
 
 
-def arbitration_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The closed loop over the whole feed: verdicts, tallies and warnings it emits."""
-    feed = derived.copies(spark, sf_dir).drop("value")
-    return replay(feed, OBSERVE).where(~F.col("kind").isin("forwarded", "state")).select(
-        *GROUP,
-        "kind",
-        "at_us",
-        "window_start_us",
-        "slowest_source_id",
-        "total_events",
-        "sources_seen",
-        "reason",
-        "stalled_for_us",
-    )
-
-
-def state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where the closed loop stands at the end of the feed."""
-    messages = replay(derived.copies(spark, sf_dir).drop("value"), OBSERVE)
-    counts = F.transform(
-        F.array_sort(F.map_entries("counts")),
-        lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")),
-    )
-    return snapshot(messages).withColumn("counts", F.array_join(counts, ","))
-
-
 def queries() -> dict[str, Report]:
     return {
         "slowest_source": slowest_source,
@@ -454,6 +493,9 @@ def queries() -> dict[str, Report]:
         "confirm_latency_histogram": confirm_latency_histogram,
         "last_removal": last_removal,
         "verdict_recheck": verdict_recheck,
-        "arbitration_replay": arbitration_replay,
-        "state_snapshot": state_snapshot,
+        "removal_plan_modes": removal_plan_modes,
+        "confirmations_encoded": confirmations_encoded,
+        "stalls_encoded": stalls_encoded,
+        "arbitrated_rows": arbitrated_rows,
+        "rejected_messages": rejected_messages,
     }

@@ -42,13 +42,22 @@ COPY_REDELIVERED = "redelivery = 0 or (event_id + s) % 29 = 0"
 SOURCE_NAME = "concat('ip-172-31-', cast(s as string), '-10.ap-northeast-1.compute.internal')"
 ARRIVAL_ORDER = ("arr_us", "event_id", "s", "redelivery")
 
-_landed: dict[tuple[str, str, bool], str] = {}
+_landed: dict[tuple, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def input_state(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """Path, length and time of change of a table's files: another state, another table."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = system.listStatus(path)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def feed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their stream, symbol and time in microseconds (UTC)."""
     events = table(spark, sf_dir, "events")
@@ -93,9 +102,9 @@ def delivered_copies(spark: SparkSession, sf_dir: str, redelivery: bool) -> Data
 def copies(spark: SparkSession, sf_dir: str, redelivery: bool = True) -> DataFrame:
     """The landed feed: normalised copies with broker-style offsets.
 
-    Landed once per application and folder, as a feed is, and read from then on.
+    Landed once per application and state of the input, as a feed is, and read from then on.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, redelivery)
+    key = (spark.sparkContext.applicationId, input_state(spark, sf_dir, "events"), redelivery)
     if key not in _landed:
         _landed[key] = landed_path(delivered_copies(spark, sf_dir, redelivery), ARRIVAL_ORDER)
     return read_table(spark, _landed[key]).drop("s", "redelivery")
@@ -274,12 +283,12 @@ AUDIT_BYTES = f"case when body = 'broken' then {BROKEN_BYTES} else cast(body as
 # Which of the messages above are verdicts that name a source.
 NAMING_VERDICT = "event_id % 20 between 3 and 8"
 
-_logs: dict[tuple[str, str], str] = {}
+_logs: dict[tuple, str] = {}
 
 
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log message per event, good and bad, in order of time per partition."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, input_state(spark, sf_dir, "events"))
     if key not in _logs:
         messages = (
             feed_events(spark, sf_dir)
@@ -321,15 +330,21 @@ def removal_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- recorded removals ------------------------------------------------------------------
+# --- recorded windows and removals ------------------------------------------------------------------
+
+
+NAMED_SOURCE = SOURCE_NAME.replace("cast(s ", "cast(naming % 2 ")
+NAMED_AT = f"{FEED_START_US} + cast(naming + 1 as bigint) * {SERVICE_US} - case when naming = 2 then 86400000000 else 0 end"
+# A log whose totals are one too high now and then.
+RECORDED_TOTAL = "total_events + case when window_no % 7 = 3 then 1 else 0 end"
 
 
 def retirements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recorded naming verdicts: machines 0 and 1 at the end of their service."""
+    """Recorded naming verdicts: machines 0 and 1 at the end of their service, 0 once more later."""
     groups = feed_events(spark, sf_dir).select("stream_type", "symbol").distinct()
-    return groups.withColumn("s", F.explode(F.array(F.lit(0), F.lit(1)))).selectExpr(
+    return groups.withColumn("naming", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).selectExpr(
         "stream_type",
         "symbol",
-        f"{SOURCE_NAME} as slowest_source_id",
-        f"{FEED_START_US} + (s + 1) * {SERVICE_US} as window_end_us",
+        f"{NAMED_SOURCE} as slowest_source_id",
+        f"{NAMED_AT} as window_end_us",
     )

@@ -16,6 +16,7 @@ from feedarb.functions.keys import topic_partition
 RAW_TOPIC = "market-data-raw"
 ARBITRATED_TOPIC = "market-data-arb"
 AUDIT_TOPIC = "arbitration-audit"
+MAX_OFFSETS = 1_000_000
 PRODUCER_OPTIONS = {
     "kafka.acks": "all",
     "kafka.enable.idempotence": "true",
@@ -25,9 +26,9 @@ PRODUCER_OPTIONS = {
 
 
 def source_options(
-    servers: str, topic: str, start: str = "earliest", max_offsets: int | None = None
+    servers: str, topic: str, start: str = "earliest", max_offsets: int = MAX_OFFSETS
 ) -> dict[str, str]:
-    """Reader options; ``max_offsets`` bounds what one micro-batch brings."""
+    """Reader options; ``max_offsets`` bounds what one micro-batch brings, a backlog included."""
     if start not in ("earliest", "latest"):
         raise ValueError("start must be 'earliest' or 'latest'")
     options = {
@@ -35,9 +36,8 @@ def source_options(
         "subscribe": topic,
         "startingOffsets": start,
         "includeHeaders": "true",
+        "maxOffsetsPerTrigger": str(max_offsets),
     }
-    if max_offsets is not None:
-        options["maxOffsetsPerTrigger"] = str(max_offsets)
     return options
 
 

@@ -1 +1 @@
-"""Stateful arbitration on streams, feed sources and sinks, replay."""
+"""Stateful arbitration on streams, feed sources and sinks."""

@@ -19,7 +19,7 @@ from feedarb.sources import derived, kafka
 from feedarb.sources.landing import GROUP
 from feedarb.streaming import feeds
 from feedarb.streaming.processor import STATEFUL_SETTINGS
-from feedarb.streaming.replay import place_confirmations, replay, state_snapshot, uncertain_groups
+from tests.replay import place_confirmations, replay, state_snapshot, uncertain_groups
 from tests.model import COPY_SCHEMA, as_rows, random_feed, simulate
 
 PARAMS = ArbitrationParams(
@@ -286,9 +286,12 @@ def test_stateful_operator_runs_from_any_folder(tmp_path):
         "import sys\n"
         f"sys.path.insert(0, {str(root)!r})\n"
         "from tests.conftest import make_session\n"
-        "import __spark_entry__ as entry\n"
+        "from feedarb.plans.settings import OBSERVE\n"
+        "from feedarb.sources import derived\n"
+        "from tests.replay import replay, state_snapshot\n"
         "spark = make_session()\n"
-        "print('groups', entry.queries()['state_snapshot'](spark, '/root/testdata/sf0.001').count())\n"
+        "feed = derived.copies(spark, '/root/testdata/sf0.001').drop('value')\n"
+        "print('groups', state_snapshot(replay(feed, OBSERVE)).count())\n"
     )
     done = subprocess.run(
         [sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=300
