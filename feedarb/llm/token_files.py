@@ -40,7 +40,7 @@ BLOCK_TOKENS = 1 << 20
 #: From so many ids on, three turns with little gain end a block's grammar; below it, nine.
 QUICK = 1 << 16
 #: Words that a worker remembers, at most twice as many.
-WORDS = 400_000
+WORDS = 700_000
 
 
 @dataclass
@@ -60,11 +60,19 @@ class Grammar:
 
     def decode(self) -> bytes:
         """All ids as little-endian unsigned 32-bit integers."""
-        known = _id_bytes(self.base)
-        texts = known + [b""] * len(self.rules)
-        for at, (left, right) in enumerate(self.rules.tolist(), self.base):
-            texts[at] = texts[left] + texts[right]
-        return b"".join(map(texts.__getitem__, self.symbols.tolist()))
+        base = self.base
+        own = np.arange(base, dtype="<u4").tobytes()
+        made: list[bytes] = []
+        for left, right in self.rules.tolist():
+            first = own[4 * left : 4 * left + 4] if left < base else made[left - base]
+            made.append(first + (own[4 * right : 4 * right + 4] if right < base else made[right - base]))
+        table = np.frombuffer(own + b"".join(made), "<u4")
+        sizes = np.concatenate([np.ones(base, np.int64), self.lengths])
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[self.symbols]
+        before = np.cumsum(each) - each
+        places = np.arange(each.sum()) + np.repeat(starts[self.symbols] - before, each)
+        return table[places].tobytes()
 
     def between(self, first: int, end: int) -> list[int]:
         """The ids at positions ``first`` to ``end - 1``; only what covers them is expanded."""
@@ -91,12 +99,6 @@ class Grammar:
         return out
 
 
-@functools.lru_cache(maxsize=2)
-def _id_bytes(base: int) -> list[bytes]:
-    data = np.arange(base, dtype="<u4").tobytes()
-    return [data[i : i + 4] for i in range(0, 4 * base, 4)]
-
-
 def _heads(seq: np.ndarray, turn: int) -> np.ndarray:
     """Places of left symbols of pairs that don't overlap.
 
@@ -154,12 +156,12 @@ def compress(ids: np.ndarray, base: int, least: int = 8, most_rules: int | None
         if count == least:
             quiet = 0 if len(chosen) and 300 * len(heads) > len(seq) else quiet + 1
         elif turn % 3 == 0:
-            count = max(least, count >> 3)
+            count = max(least, count >> 4)
     table = np.concatenate(rules).astype(np.int64) if rules else np.zeros((0, 2), np.int64)
-    lengths = np.ones(base + made, np.int64)
-    for at, (left, right) in enumerate(table.tolist(), base):
-        lengths[at] = lengths[left] + lengths[right]
-    return Grammar(base, seq, table, lengths[base:])
+    lengths: list[int] = []
+    for pair in table.tolist():
+        lengths.append(sum(1 if symbol < base else lengths[symbol - base] for symbol in pair))
+    return Grammar(base, seq.astype(np.int64), table, np.array(lengths, np.int64))
 
 
 class WordEncoder:
@@ -196,8 +198,9 @@ class WordEncoder:
 
     def learn(self, words: set[str]) -> None:
         """Remembers the plain words among those not known yet."""
-        cores = {w.rstrip(string.punctuation) for w in words.difference(self._known)}
-        fresh = [w for w in cores.difference(self._known) if w and _plain(w)]
+        known = self._known
+        cores = {w.rstrip(string.punctuation) for w in words if w not in known}
+        fresh = [w for w in cores if w and w not in known and w not in known.older and _plain(w)]
         for at in range(0, len(fresh), 4096):
             some = fresh[at : at + 4096]
             text = " ".join(some).lower()
@@ -206,7 +209,7 @@ class WordEncoder:
             if len(ends) == len(some):
                 data = ids.tobytes()
                 for word, start, end in zip(some, [0, *ends], ends):
-                    self._known.keep(word, data[start:end])
+                    known.keep(word, data[start:end])
 
     def encode(self, words: list[str]) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -219,7 +222,7 @@ def words_of(text: str | None) -> list[str]:
 
 def _plain(word: str) -> bool:
     """Letters that normalization only sets in lower case, one by one."""
-    return word.isalpha() and max(word) < "Ā"
+    return word.isalpha() and (word.isascii() or max(word) < "Ā")
 
 
 @functools.lru_cache(maxsize=2)
