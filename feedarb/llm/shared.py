@@ -11,13 +11,25 @@ from pyspark.sql import functions as F
 
 #: Words: runs of anything but space and the controls 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH = "8m"
 #: Bytes of text that a task works on at a time.
 SLICE_BYTES = 4 << 20
 #: Results that a Memory holds, at most twice as many.
 MEMORY = 100_000
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH`` at most, unless the session has a size of its own.
+
+    A task holds batches several times over: in the JVM, on the way, and in each worker.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "").removesuffix("b") in ("", str(64 << 20)):
+        spark.conf.set(key, BATCH)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
