@@ -24,7 +24,7 @@ def bounded_batches(spark: SparkSession) -> None:
     A task holds batches several times over: in the JVM, on the way, and in each worker.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, "").removesuffix("b") in ("", str(64 << 20)):
+    if spark.conf.get(key).removesuffix("b") == str(64 << 20):  # as it is if nobody sets it
         spark.conf.set(key, BATCH)
 
 
