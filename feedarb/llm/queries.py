@@ -12,6 +12,7 @@ from feedarb.llm import (
     chat,
     extraction,
     mixing,
+    oracles,
     sharding,
     simhash,
     token_files,
@@ -98,4 +99,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
