@@ -23,12 +23,12 @@ links as (
     on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
     and list_cosine_similarity(a.v, b.v) >= 0.98),
 reached as (
-  select vec_id as start, vec_id as at from embeddings
-  union select r.start, l.b from reached r join links l on l.a = r.at),
-least as (select start, min(at) as component_id from reached group by start),
+  select vec_id as origin, vec_id as node from embeddings
+  union select r.origin, l.b from reached r join links l on l.a = r.node),
+least as (select origin, min(node) as component_id from reached group by origin),
 counts as (select a, count(*) as n from links group by a)
 select e.vec_id, coalesce(n, 0)::bigint as n_links, component_id, e.vec_id = component_id as kept
-from embeddings e join least on start = e.vec_id left join counts on a = e.vec_id"""
+from embeddings e join least on origin = e.vec_id left join counts on a = e.vec_id"""
 
 
 def oracle_sql() -> dict[str, str]:
