@@ -163,8 +163,10 @@ from evicted group by all""",
         "gate_opening": f"""with {feed()}, {gates(n)} select * from gates""",
         "observe_windows": f"with {OBSERVED} select * from windows",
         "window_wins": f"with {OBSERVED} select * from wins",
-        "window_verdicts": f"""with {OBSERVED}
-{verdict_select('wins', G + ', window_no', OBSERVE.minimum_events)}""",
+        "window_verdicts": f"""with {OBSERVED},
+told as ({verdict_select('wins', G + ', window_no', OBSERVE.minimum_events)})
+select *, coalesce(window_no <= min(case when slowest_source_id is not null then window_no end)
+  over (partition by {G}), true) as exact from told""",
         "running_tallies": f"""with {OBSERVED},
 numbered as (select *, row_number() over (partition by {G}, window_no order by evict_offset) as n from credit),
 snaps as (select {G}, window_no, n, evict_offset, evict_us from numbered where n % {OBSERVE.emit_tally_every} = 0)

@@ -108,8 +108,18 @@ def window_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts as if nobody left; ``exact`` up to each group's first named source, from which
+    on a live system goes without it."""
     wins = window_wins(spark, sf_dir)
-    return tally.verdicts(wins, [*GROUP, "window_no"], OBSERVE.minimum_events)
+    told = durable(tally.verdicts(wins, [*GROUP, "window_no"], OBSERVE.minimum_events), "verdicts")
+    first = told.where(F.col("slowest_source_id").isNotNull()).groupBy(*GROUP).agg(
+        F.min("window_no").alias("_first_named")
+    )
+    return (
+        told.join(first, [*GROUP], "left")
+        .withColumn("exact", F.coalesce(F.col("window_no") <= F.col("_first_named"), F.lit(True)))
+        .drop("_first_named")
+    )
 
 
 def running_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
