@@ -19,7 +19,6 @@ import array
 import base64
 import functools
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
