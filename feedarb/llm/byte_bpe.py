@@ -30,7 +30,7 @@ from feedarb.llm.shared import Memory, slices
 #: Texts that are decoded at a time.
 DECODED_ROWS = 256
 #: Words that a worker remembers, at most twice as many.
-WORDS = 150_000
+WORDS = 100_000
 
 
 class BytePairCodec:

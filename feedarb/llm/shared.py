@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 #: Words: runs of anything but space and the controls 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
-BATCH = "8m"
+BATCH = "4m"
 #: Bytes of text that a task works on at a time.
 SLICE_BYTES = 4 << 20
 #: Results that a Memory holds, at most twice as many.

@@ -35,7 +35,8 @@ BLOCK = 1 << 20
 
 _words = re.compile(r"\w+").findall
 _hash = Memory(
-    lambda word: (zlib.crc32(word.encode()), *(zlib.crc32(f"{n}^{word[:n]}".encode()) for n in STEMS))
+    lambda word: (zlib.crc32(word.encode()), *(zlib.crc32(f"{n}^{word[:n]}".encode()) for n in STEMS)),
+    50_000,
 )
 
 
