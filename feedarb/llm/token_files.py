@@ -9,7 +9,8 @@ ids is decoded without the rest (:meth:`Grammar.between`).
 
 Each turn replaces all pairs above a count whose left symbol is in one half of the alphabet
 and whose right symbol is in the other half.  Such pairs never overlap, so a turn is a few
-array operations; the halves change and the least count sinks from turn to turn.
+array operations; the halves change and the least count sinks from turn to turn.  At the last
+count, left and right symbols are taken from the pairs that reach it, until none does.
 
 Null texts count as empty; each document ends with ``end_id``.  Rows of equal id are
 ordered by text, null ids come first.  A document longer than a block makes a longer block.
@@ -37,8 +38,6 @@ BLOCK_SCHEMA = (
 )
 #: Ids in a block, at least.
 BLOCK_TOKENS = 1 << 20
-#: From so many ids on, three turns with little gain end a block's grammar; below it, nine.
-QUICK = 1 << 16
 #: Words that a worker remembers, at most twice as many.
 WORDS = 700_000
 
@@ -99,6 +98,14 @@ class Grammar:
         return out
 
 
+def _equal(seq: np.ndarray) -> np.ndarray:
+    """Places of left symbols of equal pairs, every other one of a run."""
+    at = np.flatnonzero(seq[:-1] == seq[1:])
+    opens = np.ones(len(at), bool)
+    opens[1:] = np.diff(at) > 1
+    return at[(at - np.maximum.accumulate(np.where(opens, at, 0))) % 2 == 0]
+
+
 def _heads(seq: np.ndarray, turn: int) -> np.ndarray:
     """Places of left symbols of pairs that don't overlap.
 
@@ -109,14 +116,40 @@ def _heads(seq: np.ndarray, turn: int) -> np.ndarray:
     if turn % 3 < 2:
         half = (seq * kind(0x9E3779B1) >> kind(31 - turn // 3 * 7 % 32)) & kind(1) == turn % 3
         return np.flatnonzero(half[:-1] & ~half[1:])
-    at = np.flatnonzero(seq[:-1] == seq[1:])
-    opens = np.ones(len(at), bool)
-    opens[1:] = np.diff(at) > 1
-    return at[(at - np.maximum.accumulate(np.where(opens, at, 0))) % 2 == 0]
+    return _equal(seq)
+
+
+def _last_heads(seq: np.ndarray, least: int, shift: int) -> np.ndarray | None:
+    """As :func:`_heads`, with the most frequent pairs first; None if no pair comes ``least`` times."""
+    kind = seq.dtype.type
+    found, counts = np.unique(seq[:-1] << kind(shift) | seq[1:], return_counts=True)
+    often = np.flatnonzero(counts >= least)
+    found = found[often[np.argsort(-counts[often], kind="stable")]]
+    left, right = (found >> kind(shift)).tolist(), (found & kind((1 << shift) - 1)).tolist()
+    twice = _equal(seq)
+    runs, counts = np.unique(seq[twice], return_counts=True)
+    runs = set(runs[counts >= least].tolist())
+    lefts: set[int] = set()
+    rights: set[int] = set()
+    equals: set[int] = set()
+    for first, second in zip(left, right):
+        if first == second:
+            if first in runs and first not in lefts and first not in rights:
+                equals.add(first)
+        elif not (first in rights or second in lefts or first in equals or second in equals):
+            lefts.add(first)
+            rights.add(second)
+    if not lefts and not equals:
+        return None
+    sides = np.zeros((3, int(seq.max()) + 1), bool)
+    for side, symbols in zip(sides, (lefts, rights, equals)):
+        side[list(symbols)] = True
+    heads = np.flatnonzero(sides[0, seq[:-1]] & sides[1, seq[1:]])
+    return np.sort(np.concatenate([heads, twice[sides[2, seq[twice]]]]))
 
 
 def compress(ids: np.ndarray, base: int, least: int = 8, most_rules: int | None = None) -> Grammar:
-    """Re-Pair grammar of ids below ``base``.
+    """Re-Pair grammar of ids below ``base``; it ends when no pair comes ``least`` times or with ``most_rules``.
 
     Without ``most_rules`` as many rules are made as keep symbols in 16 bits, or 65,536
     where ids leave too little of that.
@@ -126,11 +159,12 @@ def compress(ids: np.ndarray, base: int, least: int = 8, most_rules: int | None
     kind, shift = (np.uint32, 16) if base + most_rules <= 1 << 16 else (np.uint64, 32)
     seq = ids.astype(kind)
     rules: list[np.ndarray] = []
-    made = turn = quiet = 0
+    made = turn = 0
     count = max(least, len(ids) >> 9)
-    patience = 9 if len(ids) < QUICK else 3
-    while made < most_rules and len(seq) > 1 and quiet < patience:
-        heads = _heads(seq, turn)
+    while made < most_rules and len(seq) > 1:
+        heads = _heads(seq, turn) if count > least else _last_heads(seq, least, shift)
+        if heads is None:
+            break
         pairs = seq[heads] << kind(shift) | seq[heads + 1]
         found, counts = np.unique(pairs, return_counts=True)
         often = counts >= count
@@ -153,9 +187,7 @@ def compress(ids: np.ndarray, base: int, least: int = 8, most_rules: int | None
             rules.append(parts)
             made += len(chosen)
         turn += 1
-        if count == least:
-            quiet = 0 if len(chosen) and 300 * len(heads) > len(seq) else quiet + 1
-        elif turn % 3 == 0:
+        if turn % 3 == 0:
             count = max(least, count >> 4)
     table = np.concatenate(rules).astype(np.int64) if rules else np.zeros((0, 2), np.int64)
     lengths: list[int] = []

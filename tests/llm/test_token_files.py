@@ -72,3 +72,27 @@ def test_files_read_back(spark, library, block):
 
 def test_empty_table(spark):
     assert digests(spark, documents(spark, []), 100) == []
+
+
+def pairs_left(symbols):
+    """The most occurrences, without overlaps, of a pair of neighbours."""
+    counts, last = {}, {}
+    for at, pair in enumerate(zip(symbols, symbols[1:])):
+        if last.get(pair, -2) < at - 1:
+            counts[pair] = counts.get(pair, 0) + 1
+            last[pair] = at
+    return max(counts.values(), default=0)
+
+
+@pytest.mark.parametrize("size", [5_000, 70_000, 300_000])
+@pytest.mark.parametrize("base", [3_000, 100_000])
+def test_grammar_ends_when_no_pair_is_frequent(size, base):
+    draw = np.random.default_rng(size)
+    ids = (base * draw.random(size) ** 4).astype("u4")
+    for _ in range(size // 40):  # repeated passages
+        a, b = draw.integers(0, size - 12, 2)
+        ids[a : a + 12] = ids[b : b + 12]
+    ids[size // 2 : size // 2 + 700] = 7
+    grammar = token_files.compress(ids, base)
+    assert grammar.decode() == ids.astype("<u4").tobytes()
+    assert pairs_left(grammar.symbols.tolist()) < 8 or len(grammar.rules) == (1 << 16) - (base if base < 60_000 else 0)
