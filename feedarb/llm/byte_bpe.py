@@ -138,7 +138,7 @@ class BytePairCodec:
 
     def encode(self, text: str) -> bytes:
         """Token ids as 32-bit integers."""
-        if text.count(" ") + text.count("\n") != len(text.split()) - 1:
+        if " ".join(text.split()) != text.replace("\n", " "):
             return b"".join(map(self._pieces.__getitem__, self._find(text)))
         # Single blanks and line ends between words: a blank always begins a piece and a
         # line end is one, so the words can be looked up.

@@ -61,3 +61,13 @@ def test_query_on_awkward_rows(spark, library):
 
 def test_empty_table(spark):
     assert byte_bpe.digests(documents(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+@pytest.mark.parametrize("text", ["a\tb\tc\n\n", "\n\na\tb\tc", "a\tb\tc\td  e", "  a\tb\tc", "a\u00a0b\u00a0c\n\n", "a b\nc", ""])
+def test_ranks_with_tokens_of_several_line_ends(text):
+    import tiktoken
+
+    codec = byte_bpe.codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert b"\n\n" in codec.ranks
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    assert np.frombuffer(codec.encode(text), np.int32).tolist() == plain.encode_ordinary(text)
