@@ -10,7 +10,7 @@ import numpy as np
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]{0,4000}\"|'[^']{0,4000}'|[^\"'>])*)>"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*+\"|'[^']*+'|[^\"'>])*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)[^>]*>",
     re.DOTALL,
 )

@@ -69,3 +69,12 @@ def test_awkward_pages(spark, model):
     assert all(r.text is not None for r in found)
     assert {r.text for r in found if r.page_id in (1, 2)} == {""}
     assert extraction.extracted(spark.createDataFrame([], SCHEMA), *model).count() == 0
+
+
+@pytest.mark.parametrize("name", ["data-src", "data-json"])
+def test_long_attribute_values(name):
+    value = "x" * 5_000 + " > y"
+    page = dom.parse(f"<body><div {name}=\"{value}\" class=\"side-bar\"><p title='{value}'>text</p></div></body>")
+    assert [n.tokens for n in page.nodes if n.tag == "div"] == [("side", "bar")]
+    assert [t for _, t in page.blocks] == ["text"]
+    assert [t for _, t in dom.parse('<div title="never closed><p>text</p></div>').blocks] == ["text"]
