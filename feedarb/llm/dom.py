@@ -67,7 +67,10 @@ def tokens_of(rest: str) -> tuple[str, ...]:
 
 
 def parse(source: str | None) -> Page:
-    """Lenient: tags that are not closed end with what they are in; stray ends count for nothing."""
+    """Lenient: tags that are not closed end with what they are in; stray ends count for nothing.
+
+    Text outside all elements is in the body, as in browsers; where there is none, one begins with it.
+    """
     nodes = [Node("#page", -1, 0)]
     blocks: list[tuple[int, str]] = []
     stack = [0]
@@ -79,12 +82,20 @@ def parse(source: str | None) -> Page:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                node = nodes[stack[-1]]
+                own = stack[-1]
+                if not own:
+                    own = next((at for at, n in enumerate(nodes) if n.tag == "body"), 0)
+                    if not own:
+                        nodes.append(Node("body", 0, 1))
+                        nodes[0].children.append(len(nodes) - 1)
+                        own = len(nodes) - 1
+                        stack.append(own)
+                node = nodes[own]
                 node.chars += len(text)
                 node.linked += min(linked, len(text))
                 node.marks += sum(map(text.count, ".,;:!?"))
                 node.blocks += 1
-                blocks.append((stack[-1], text))
+                blocks.append((own, text))
             pieces = []
         nodes[stack[-1]].elements += inline
         linked = inline = 0
@@ -93,7 +104,7 @@ def parse(source: str | None) -> Page:
         flush()
         del stack[upto:]
 
-    source = source or ""
+    source = (source or "").removeprefix("\ufeff")
     at = 0
     while at < len(source):
         found = _TAG.search(source, at)

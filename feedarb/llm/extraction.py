@@ -13,7 +13,8 @@ other markup too, the blocks of these pages are also set into ``VARIANTS`` other
 with the parts that pages have besides their text: menus, sidebars, notices, adverts, forms,
 comments.  Without such pages in the table, the markup of the layouts alone is learned.
 
-Null pages are empty; pages without text give an empty text.
+Null pages are empty; pages without text give an empty text.  Text outside all elements is judged
+with the body, so a page of plain text is its own text.
 """
 
 from __future__ import annotations

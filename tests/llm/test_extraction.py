@@ -78,3 +78,17 @@ def test_long_attribute_values(name):
     assert [n.tokens for n in page.nodes if n.tag == "div"] == [("side", "bar")]
     assert [t for _, t in page.blocks] == ["text"]
     assert [t for _, t in dom.parse('<div title="never closed><p>text</p></div>').blocks] == ["text"]
+
+
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        ("plain", ["plain"]),
+        ("A <b>bold</b> word.", ["A bold word."]),
+        ("Before.<p>First.</p>", ["Before.", "First."]),
+        ("<html><body><p>First.</p></body></html>After.", ["First.", "After."]),
+    ],
+)
+def test_text_outside_all_elements(spark, model, source, want):
+    found = extraction.extracted(spark.createDataFrame([(1, "u", source, "t", 1)], SCHEMA), *model).first()
+    assert found.text == "\n".join(want)
