@@ -15,6 +15,7 @@ from feedarb.llm import (
     oracles,
     sharding,
     simhash,
+    token_counts,
     token_files,
     topk,
     toxicity,
@@ -94,6 +95,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark.read.parquet(path))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    found = token_counts.counted(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return found.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
