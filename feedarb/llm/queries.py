@@ -13,6 +13,7 @@ from feedarb.llm import (
     extraction,
     mixing,
     oracles,
+    repair,
     sharding,
     simhash,
     token_counts,
@@ -95,6 +96,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark.read.parquet(path))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair.report(repair.damaged(turns), turns)
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
