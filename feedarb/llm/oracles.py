@@ -31,6 +31,29 @@ select e.vec_id, coalesce(n, 0)::bigint as n_links, component_id, e.vec_id = com
 from embeddings e join least on origin = e.vec_id left join counts on a = e.vec_id"""
 
 
+LEXICAL = r"""with split as (
+  select doc_id, row_number() over () as d, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t from documents),
+asked as (
+  select item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+wanted as (select item_id, term, count(*) as q from asked group by all),
+sizes as (select d, doc_id, len(t) as n from split where len(t) > 0),
+totals as (select count(*) as docs, sum(n)::bigint as words from sizes),
+tfs as (
+  select d, term, count(*) as tf from (select d, unnest(t) as term from split)
+  where term in (select term from wanted) group by all),
+weights as (
+  select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as w from tfs, totals group by term),
+scores as (
+  select item_id, doc_id, d, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))))::bigint as score
+  from wanted join tfs using (term) join weights using (term) join sizes using (d), totals group by all)
+select item_id, rank, doc_id, score from (
+  select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank from scores where score > 0)
+where rank <= 10"""
+
 REPAIR = r"""with recursive bytes as (
   select list(list_reduce([b::ubigint] || [0, 0, 0, 0, 0, 0, 0, 0]::ubigint[],
     lambda c, x: xor(c >> 1, 3988292384::ubigint * (c & 1))) order by b) as t from range(256) as r(b)),
@@ -100,4 +123,4 @@ left join ended e on e.conv_id is not distinct from c.conv_id and best = 1"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_topk": TOP_K, "op9_embeddings": NEAR_VECTORS, "op12_repair": REPAIR}
+    return {"op6_topk": TOP_K, "op9_embeddings": NEAR_VECTORS, "op11_lexical": LEXICAL, "op12_repair": REPAIR}

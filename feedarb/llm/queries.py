@@ -11,6 +11,7 @@ from feedarb.llm import (
     byte_bpe,
     chat,
     extraction,
+    lexical,
     mixing,
     oracles,
     repair,
@@ -96,6 +97,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark.read.parquet(path))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     return repair.report(repair.damaged(turns), turns)
