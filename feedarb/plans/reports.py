@@ -178,7 +178,7 @@ def audit_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _retired(spark: SparkSession, sf_dir: str) -> DataFrame:
+def retired_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     # As small as a recorded log of removals is, and known to be.
     return durable(derived.retirements(spark, sf_dir), "retired")
 
@@ -191,7 +191,7 @@ def tumbling_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ignore_filtered_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gone = recorded.ignored_from(_retired(spark, sf_dir))
+    gone = recorded.ignored_from(retired_sources(spark, sf_dir))
     feed = arbitrate.drop_ignored(derived.copies(spark, sf_dir), gone)
     return arbitrate.first_copies(feed, ("source_id", "arr_us"))
 
@@ -200,7 +200,7 @@ def _filtered(
     spark: SparkSession, sf_dir: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Recorded removals, the feed without the removed sources, and its roster."""
-    named = _retired(spark, sf_dir)
+    named = retired_sources(spark, sf_dir)
     feed = arbitrate.drop_ignored(derived.copies(spark, sf_dir), recorded.ignored_from(named))
     return named, feed, durable(windows.roster(feed), "roster")
 
@@ -219,7 +219,7 @@ def gate_stalls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gone = recorded.ignored_from(_retired(spark, sf_dir))
+    gone = recorded.ignored_from(retired_sources(spark, sf_dir))
     return rollups.feed_counters(arbitrate.flag_ignored(derived.copies(spark, sf_dir), gone))
 
 
@@ -407,7 +407,12 @@ def arbitrated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = arbitrate.first_copies(
         good.withColumn("seq_offset", F.col("offset")), ("value", "headers")
     )
-    return kafka.arbitrated_rows(first, TOPIC_PARTITIONS).select(
+    return topic_rows(first)
+
+
+def topic_rows(forwarded: DataFrame) -> DataFrame:
+    """Rows of the arbitrated topic in readable form."""
+    return kafka.arbitrated_rows(forwarded, TOPIC_PARTITIONS).select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         F.array_join(F.transform("headers", lambda h: F.concat(h["key"], F.lit("="), h["value"].cast("string"))), ",").alias("headers"),
