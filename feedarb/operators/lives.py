@@ -58,10 +58,12 @@ _ARROW = pa.schema(
 
 class Lives(NamedTuple):
     """``copies``: (group, seq_offset, arr_us, forwarded) for each copy, and in the columns of an
-    eviction what the copy made leave the cache, null if nothing.  ``pending``: what never left."""
+    eviction what the copy made leave the cache, null if nothing.  ``pending``: what never left.
+    ``ends``: (group, block, live), what each block left, to resume from."""
 
     copies: DataFrame
     pending: DataFrame
+    ends: DataFrame
 
 
 class LiveEntries:
@@ -106,9 +108,6 @@ def _digest(live: str) -> str:
     return hashlib.sha256(live.encode()).hexdigest()
 
 
-NOTHING_LIVE = _digest("[]")
-
-
 def _walk(rows: DataFrame, params: ArbitrationParams) -> DataFrame:
     """Walks through blocks.  ``rows`` holds copies, those with ``warm`` only to guess from, and
     where a start is known a row with it in ``live`` and an offset below all."""
@@ -175,67 +174,79 @@ def lives(
     params: ArbitrationParams,
     ignored_from: DataFrame | None = None,
     width: int = BLOCK_OFFSETS,
+    resume: DataFrame | None = None,
 ) -> Lives:
-    """Walks through all copies that reach the cache; ``ignored_from`` as in ``flag_ignored``."""
+    """Walks through all copies that reach the cache; ``ignored_from`` as in ``flag_ignored``.
+
+    ``resume`` holds (group, block, live) for the groups to walk through, each from that block
+    on; without it all groups are, from their beginning.
+    """
     spark = copies.sparkSession
     if ignored_from is not None:
         copies = flag_ignored(copies, ignored_from).where(~F.col("ignored"))
     rows = copies.select(*GROUP, "seq_offset", "arr_us", "msg_key", "source_id")
+    block = int_div(F.col("seq_offset"), width)
+    if resume is not None:
+        first = resume.select(*GROUP, F.col("block").alias("_first"))
+        rows = rows.join(first, [*GROUP]).where(block >= F.col("_first")).drop("_first")
     paths: list[str] = []
 
     def walked(some: DataFrame) -> DataFrame:
-        """States of the blocks walked through; the rows are written once."""
+        """Borders of the blocks walked through; the rows are written once."""
         paths.append(new_path(spark, "walked"))
         _walk(some, params).write.parquet(paths[-1])
-        return states(len(paths) - 1)
-
-    def states(number: int) -> DataFrame:
-        ends = spark.read.parquet(paths[number]).where("began is not null")
-        return ends.select(*BLOCK, "began", "left", F.lit(number).alias("pass"))
+        ends = spark.read.schema(WALKED).parquet(paths[-1]).where("began is not null")
+        return written(ends.select(*BLOCK, "began", "left", F.lit(len(paths) - 1).alias("pass")))
 
     def written(frame: DataFrame) -> DataFrame:
         path = new_path(spark, "borders")
         frame.write.parquet(path)
         return spark.read.parquet(path)
 
-    borders = walked(_with_guesses(rows, params, width))
+    guessed = _with_guesses(rows, params, width)
+    borders = walked(guessed if resume is None else guessed.unionByName(_start_rows(resume)))
     in_order = W.partitionBy(*GROUP).orderBy("block")
     while True:
         asked = borders.withColumns(
             {name: F.lag(column).over(in_order) for name, column in (("_from", "block"), ("_left", "left"), ("_pass", "pass"))}
         )
-        wrong = written(asked.where(F.col("began") != F.coalesce("_left", F.lit(NOTHING_LIVE))).select(*BLOCK, "_from", "_pass"))
+        # A group's first block began with nothing, or with what it was given.
+        wrong = written(asked.where(F.col("began") != F.col("_left")).select(*BLOCK, "_from", "_pass"))
         if wrong.isEmpty():
             break
         ends = _all_passes(spark, paths).where("began is not null").select(
             *GROUP, F.col("block").alias("_from"), F.col("pass").alias("_pass"), "live"
         )
-        none = F.lit(None).cast("string")
-        starts = wrong.join(ends, [*GROUP, "_from", "_pass"], "left").select(
-            *BLOCK, F.lit(-1).cast("bigint").alias("seq_offset"), F.lit(None).cast("bigint").alias("arr_us"),
-            none.alias("msg_key"), none.alias("source_id"), F.lit(False).alias("warm"), F.coalesce("live", F.lit("[]")).alias("live"),
-        )
         again = (
-            rows.withColumn("block", int_div(F.col("seq_offset"), width))
+            rows.withColumn("block", block)
             .join(wrong.select(*BLOCK), [*BLOCK], "left_semi")
-            .withColumns({"warm": F.lit(False), "live": none})
+            .withColumns({"warm": F.lit(False), "live": F.lit(None).cast("string")})
         )
-        fresh = walked(again.unionByName(starts))
+        fresh = walked(again.unionByName(_start_rows(wrong.join(ends, [*GROUP, "_from", "_pass"]))))
         borders = written(borders.join(wrong, [*BLOCK], "left_anti").unionByName(fresh))
 
     found = _all_passes(spark, paths)
     if len(paths) > 1:
         found = found.join(borders.select(*BLOCK, "pass"), [*BLOCK, "pass"])
     last = borders.groupBy(*GROUP).agg(F.max("block").alias("block"))
+    ends = found.where("began is not null").select(*BLOCK, "live")
     pending = (
-        found.where("began is not null")
-        .join(last, [*BLOCK])
+        ends.join(last, [*BLOCK])
         .select(*GROUP, F.explode(F.from_json("live", ENTRY)).alias("_e"))
         .select(*GROUP, "_e.*")
         .withColumn("copies_seen", F.size("sources").cast("bigint"))
         .drop("sources", "age")
     )
-    return Lives(found.where("began is null").drop("block", "pass", "began", "left", "live"), pending)
+    return Lives(found.where("began is null").drop("block", "pass", "began", "left", "live"), pending, ends)
+
+
+def _start_rows(starts: DataFrame) -> DataFrame:
+    """Rows that tell a walk what is live where a block begins."""
+    none = F.lit(None).cast("string")
+    return starts.select(
+        *BLOCK, F.lit(-1).cast("bigint").alias("seq_offset"), F.lit(None).cast("bigint").alias("arr_us"),
+        none.alias("msg_key"), none.alias("source_id"), F.lit(False).alias("warm"), "live",
+    )
 
 
 def _all_passes(spark, paths: list[str]) -> DataFrame:
@@ -264,12 +275,9 @@ def outcomes(copies: DataFrame, found: Lives) -> DataFrame:
     )
 
 
-def evictions(found: Lives) -> DataFrame:
+def evictions_only(found: Lives) -> DataFrame:
     """One row per life that ended: what left the cache, when, why and with whose credit."""
-    admitted = running_number(
-        found.copies.where("forwarded").select(*GROUP, "seq_offset"), GROUP, "seq_offset", "admitted_seq"
-    ).withColumnRenamed("seq_offset", "first_offset")
-    left = found.copies.where("msg_key is not null").select(
+    return found.copies.where("msg_key is not null").select(
         *KEY,
         "winner",
         "first_offset",
@@ -279,7 +287,14 @@ def evictions(found: Lives) -> DataFrame:
         "complete",
         "copies_seen",
     )
-    return left.join(admitted, [*GROUP, "first_offset"])
+
+
+def evictions(found: Lives) -> DataFrame:
+    """As :func:`evictions_only`, with the number of the life's admission in its group."""
+    admitted = running_number(
+        found.copies.where("forwarded").select(*GROUP, "seq_offset"), GROUP, "seq_offset", "admitted_seq"
+    ).withColumnRenamed("seq_offset", "first_offset")
+    return evictions_only(found).join(admitted, [*GROUP, "first_offset"])
 
 
 def pending_entries(copies: DataFrame, found: Lives) -> DataFrame:
