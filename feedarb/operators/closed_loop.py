@@ -80,14 +80,21 @@ def first_copy_after(feed: DataFrame, points: DataFrame) -> DataFrame:
     )
 
 
-def _openings(heard: DataFrame, sources: DataFrame, gone: DataFrame, since: DataFrame, expected: int) -> DataFrame:
+def _heard_sources(sources: DataFrame, gone: DataFrame) -> DataFrame:
+    """Sources that reach the fleet, with ``gone_us`` from which on they are ignored; null: never."""
+    gone_at = gone.groupBy(*GROUP, "source_id").agg(F.min("from_us").alias("gone_us"))
+    return sources.join(gone_at, [*GROUP, "source_id"], "left").where(
+        F.col("gone_us").isNull() | (F.col("first_us") < F.col("gone_us"))
+    )
+
+
+def _openings(heard: DataFrame, sources: DataFrame, since: DataFrame, expected: int) -> DataFrame:
     """(group, since_us, open_offset, open_us): the copy that opens the gate; null if none does.
 
     The fleet is a running count of sightings and departures, as many as machines.  The gate opens
     with a sighting that makes the fleet full, or with the first copy while it is full.
     """
-    gone_at = gone.groupBy(*GROUP, "source_id").agg(F.min("from_us").alias("gone_us"))
-    seen = sources.join(since.select(*GROUP), [*GROUP], "left_semi").join(gone_at, [*GROUP, "source_id"], "left")
+    seen = sources.join(since.select(*GROUP), [*GROUP], "left_semi")
     none = F.lit(None).cast("bigint")
     changes = (
         seen.select(*GROUP, F.col("first_us").alias("at_us"), F.col("first_offset").alias("_copy"), F.lit(1).alias("_change"))
@@ -113,7 +120,7 @@ def _openings(heard: DataFrame, sources: DataFrame, gone: DataFrame, since: Data
     )
     full = durable(steps, "full")
     waiting = full.where("_copy is null")
-    after = first_copy_after(heard.join(waiting.select(*GROUP).distinct(), [*GROUP], "left_semi"), waiting.select(*GROUP, "at_us"))
+    after = first_copy_after(heard, waiting.select(*GROUP, "at_us"))
     by_copy = (
         waiting.join(after, [*GROUP, "at_us"])
         # The copy must come before the fleet changes; a change by a copy is a copy itself.
@@ -134,7 +141,7 @@ def _openings(heard: DataFrame, sources: DataFrame, gone: DataFrame, since: Data
     )
 
 
-def _window_wins(evicted: DataFrame, sources: DataFrame, gone: DataFrame, gates: DataFrame, params: ArbitrationParams) -> DataFrame:
+def _window_wins(evicted: DataFrame, sources: DataFrame, gates: DataFrame, params: ArbitrationParams) -> DataFrame:
     """Wins of present sources and of late winners in every window that closes, as if nobody were named."""
     period, close = F.lit(params.period_us), first_close(params)
     number = F.col("window_no")
@@ -147,16 +154,13 @@ def _window_wins(evicted: DataFrame, sources: DataFrame, gone: DataFrame, gates:
         .groupBy(*GROUP, "window_no", F.col("winner").alias("source_id"))
         .agg(F.count("*").alias("_wins"))
     )
-    gone_at = gone.groupBy(*GROUP, "source_id").agg(F.min("from_us").alias("gone_us"))
     first = window_number(F.greatest("first_us", "open_us"), params)
     # A window that a tick opens comes before departures of its instant, one that a copy opens after.
     last = F.when(F.col("gone_us").isNull(), F.col("_windows") - 1).when(
         F.col("gone_us") <= F.col("open_us"), F.lit(-1)
     ).otherwise(F.least(F.col("_windows") - 1, window_number(F.col("gone_us"), params)))
     present = (
-        sources.drop("last_us")
-        .join(gone_at, [*GROUP, "source_id"], "left")
-        .join(open_gates, [*GROUP])
+        sources.join(open_gates, [*GROUP])
         .withColumns({"_from": first, "_to": last})
         .where("_from <= _to")
         .select(*GROUP, "source_id", F.explode(F.sequence("_from", "_to")).alias("window_no"))
@@ -198,16 +202,18 @@ def closed_loop(
         ends = ends.join(latest, [*GROUP], "left").withColumn("last_us", F.greatest("last_us", "_told_us")).drop("_told_us")
         gone = known
     ends = durable(ends, "ends")
+    # First sightings do not depend on removals, which only decide whether they count.
+    sightings = durable(roster(copies).drop("last_us"), "roster")
     since = ends.select(*GROUP, F.col("started_us").alias("since_us"))
     resume = None
     wins, told, closures = [], [], []
     while True:
-        active = copies.join(since.select(*GROUP), [*GROUP], "left_semi")
-        heard = flag_ignored(active, gone).where(~F.col("ignored")).drop("ignored")
-        sources = durable(roster(heard), "roster")
-        opened = durable(_openings(heard, sources, gone, since, params.expected_sources).join(ends, [*GROUP]), "gates")
-        found = lives(active, params, gone, width, resume)
-        counted = durable(_window_wins(evictions_only(found), sources, gone, opened, params), "window-wins")
+        from_here = copies.join(since, [*GROUP]).where(F.col("arr_us") >= F.col("since_us")).drop("since_us")
+        heard = flag_ignored(from_here, gone).where(~F.col("ignored"))
+        sources = durable(_heard_sources(sightings, gone), "fleet")
+        opened = durable(_openings(heard, sources, since, params.expected_sources).join(ends, [*GROUP]), "gates")
+        found = lives(copies, params, gone, width, resume)
+        counted = durable(_window_wins(evictions_only(found), sources, opened, params), "window-wins")
         judged = durable(verdicts(counted, [*WINDOW, "window_no"], params.minimum_events), "judged")
         naming = durable(
             judged.where(F.col("slowest_source_id").isNotNull())
@@ -233,12 +239,13 @@ def closed_loop(
             "ignored",
         )
         since = naming.select(*GROUP, F.col("window_end_us").alias("since_us"))
-        resume = _resumption(active, found.ends, since, resume, width)
+        resume = _resumption(copies, found.ends, since, resume, width)
 
 
-def _resumption(active: DataFrame, ends: DataFrame, since: DataFrame, before: DataFrame | None, width: int) -> DataFrame:
+def _resumption(copies: DataFrame, ends: DataFrame, since: DataFrame, before: DataFrame | None, width: int) -> DataFrame:
     """(group, block, live): the block with the first copy after ``since``, and what is live where it begins."""
-    after = first_copy_after(active.join(since.select(*GROUP), [*GROUP], "left_semi"), since.withColumnRenamed("since_us", "at_us"))
+    later = copies.join(since, [*GROUP]).where(F.col("arr_us") >= F.col("since_us"))
+    after = first_copy_after(later, since.withColumnRenamed("since_us", "at_us"))
     blocks = after.where("next_offset is not null").select(*GROUP, int_div(F.col("next_offset"), width).alias("block"))
     if before is not None:
         # What the walk itself began with counts as left by the block before.

@@ -7,26 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedarb.operators import arbitrate, ingest, lives, recorded
+from feedarb.operators import arbitrate, closed_loop, ingest, lives, recorded
 from feedarb.plans.reports import topic_rows, retired_sources
 from feedarb.plans.settings import OBSERVE
+from feedarb.plans.storage import durable
 from feedarb.sources import derived
 from feedarb.sources.landing import GROUP
 
 KEY = arbitrate.KEY
 
 
+#: What was walked through once is read from then on, per application and state of the input.
+_known: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]) -> object:
+    key = (spark.sparkContext.applicationId, derived.input_state(spark, sf_dir, "events"), name)
+    if key not in _known:
+        _known[key] = make()
+    return _known[key]
+
+
+def _without_ignored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, lives.Lives]:
+    feed = derived.copies(spark, sf_dir)
+    return feed, _once(spark, sf_dir, "lives", lambda: lives.lives(feed, OBSERVE))
+
+
 def _with_ignored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, lives.Lives]:
     """The feed, and its lives with recorded removals left out from their time on."""
     feed = derived.copies(spark, sf_dir)
     gone = recorded.ignored_from(retired_sources(spark, sf_dir))
-    return feed, lives.lives(feed, OBSERVE, gone)
+    return feed, _once(spark, sf_dir, "kept lives", lambda: lives.lives(feed, OBSERVE, gone))
 
 
 def forwarded_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All copies that are forwarded: the first of each life."""
-    feed = derived.copies(spark, sf_dir)
-    return lives.forwarded(feed, lives.lives(feed, OBSERVE)).select(*KEY, "source_id", "seq_offset", "arr_us", "value")
+    feed, found = _without_ignored(spark, sf_dir)
+    return lives.forwarded(feed, found).select(*KEY, "source_id", "seq_offset", "arr_us", "value")
 
 
 def copy_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,13 +52,11 @@ def copy_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evictions_all_lives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lives.lives(derived.copies(spark, sf_dir), OBSERVE)
-    return lives.evictions(found).drop("first_us")
+    return lives.evictions(_without_ignored(spark, sf_dir)[1]).drop("first_us")
 
 
 def pending_all_lives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = derived.copies(spark, sf_dir)
-    return lives.pending_entries(feed, lives.lives(feed, OBSERVE))
+    return lives.pending_entries(*_without_ignored(spark, sf_dir))
 
 
 def feed_counters_all_lives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +73,28 @@ def forwarded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic_rows(lives.forwarded(good, lives.lives(good, OBSERVE)))
 
 
+def _loop(spark: SparkSession, sf_dir: str) -> closed_loop.ClosedLoop:
+    def run() -> closed_loop.ClosedLoop:
+        confirmed = durable(derived.confirmed_removals(spark, sf_dir), "confirmed")
+        return closed_loop.closed_loop(derived.copies(spark, sf_dir), OBSERVE, confirmed)
+
+    return _once(spark, sf_dir, "closed loop", run)
+
+
+def closed_loop_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of a system that leaves named and confirmed sources out from then on."""
+    return _loop(spark, sf_dir).verdicts
+
+
+def closed_loop_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loop(spark, sf_dir).wins
+
+
+def closed_loop_closures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When the gate was closed: from the cold start and from every naming until it opened."""
+    return _loop(spark, sf_dir).closures
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "forwarded_feed": forwarded_feed,
@@ -66,4 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pending_all_lives": pending_all_lives,
         "feed_counters_all_lives": feed_counters_all_lives,
         "forwarded_rows": forwarded_rows,
+        "closed_loop_verdicts": closed_loop_verdicts,
+        "closed_loop_wins": closed_loop_wins,
+        "closed_loop_closures": closed_loop_closures,
     }

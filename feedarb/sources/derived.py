@@ -348,3 +348,19 @@ def retirements(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{NAMED_SOURCE} as slowest_source_id",
         f"{NAMED_AT} as window_end_us",
     )
+
+
+# Machines confirmed gone: 0 and 1 three hours after their service, 3 while it still delivers.
+CONFIRMED_SOURCE = SOURCE_NAME.replace("cast(s ", "cast(case removal when 2 then 3 else removal end ")
+CONFIRMED_AT = f"{FEED_START_US} + cast(removal + 1 as bigint) * {SERVICE_US} + 10800000000"
+CONFIRMED_KEPT = "removal < 2 or symbol = 'sym1'"
+
+
+def confirmed_removals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confirmed removals of the derived fleet: (group, source_id, terminated_us)."""
+    groups = feed_events(spark, sf_dir).select("stream_type", "symbol").distinct()
+    return (
+        groups.withColumn("removal", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+        .where(CONFIRMED_KEPT)
+        .selectExpr("stream_type", "symbol", f"{CONFIRMED_SOURCE} as source_id", f"{CONFIRMED_AT} as terminated_us")
+    )
