@@ -18,6 +18,7 @@ from __future__ import annotations
 import array
 import base64
 import functools
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,16 @@ from feedarb.llm.shared import Memory, slices
 
 #: Texts that are decoded at a time.
 DECODED_ROWS = 256
-#: Words that a worker remembers, at most twice as many.
+#: Words that a worker remembers, at most twice as many, and bytes of a word that it does remember.
 WORDS = 100_000
+WORD_CHARS = 32
+
+
+class ShortMemory(Memory):
+    """Remembers results of short words only, so its size is bounded in bytes."""
+
+    def keep(self, key, value):
+        return super().keep(key, value) if len(key) <= WORD_CHARS else value
 
 
 class BytePairCodec:
@@ -51,9 +60,9 @@ class BytePairCodec:
         self._parts = Memory(self._last_merge)
         self._compatible = Memory(self._fits)
         self._shorter = Memory(self._next_prefix)
-        self._pieces = Memory(self._encode_piece)
-        self._words = Memory(self._encode_word)
-        self._inner = Memory(lambda word: self._encode_word(" " + word), WORDS)
+        self._pieces = ShortMemory(self._encode_piece)
+        self._words = ShortMemory(self._encode_word)
+        self._inner = ShortMemory(lambda word: self._encode_word(" " + word), WORDS)
 
     def merge(self, data: bytes, never: int = -1) -> list[int]:
         """The plain definition: again and again the neighbours of lowest rank (but ``never``)."""
@@ -149,6 +158,9 @@ class BytePairCodec:
             parts.extend(map(self._inner.__getitem__, rest))
         return b"".join(parts)
 
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.token.__getitem__, ids))
+
 
 @functools.lru_cache(maxsize=2)
 def codec(ranks_path: str, pattern: str) -> BytePairCodec:
@@ -201,11 +213,28 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
-    """doc_id, token count and digests of the ids and of the bytes they decode to."""
-    return decode(encode(docs, ranks_path, pattern), ranks_path).select(
+    """doc_id, token count and digests of the ids and of the bytes they decode to.
+
+    Each text is encoded, and its ids decoded, by one worker in one pass; decoded bytes stay there.
+    """
+
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(ranks_path, pattern)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = [own.encode(text.as_py() or "") for text in part.column("text")]
+                sums = [hashlib.sha256(own.decode(memoryview(ids).cast("i").tolist())).hexdigest() for ids in found]
+                ends = np.cumsum([0, *map(len, found)]) // 4
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), ids, pa.array(sums, pa.string())], ["doc_id", "ids", "decoded_sha256"]
+                )
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    return rows.mapInArrow(digested, "doc_id long, ids array<int>, decoded_sha256 string").select(
         "doc_id",
         *["ids"] * with_ids,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "decoded_sha256",
     )

@@ -71,3 +71,12 @@ def test_ranks_with_tokens_of_several_line_ends(text):
     assert b"\n\n" in codec.ranks
     plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
     assert np.frombuffer(codec.encode(text), np.int32).tolist() == plain.encode_ordinary(text)
+
+
+def test_decoding_and_memories_of_bounded_size(spark):
+    codec = byte_bpe.codec(RANKS, public_tokenizers.PATTERN)
+    text = "x" * 5_000 + " short " + "é漢" * 900
+    assert codec.decode(ids(text)) == text.encode()
+    assert max(map(len, [*codec._words, *codec._inner, *codec._pieces])) <= byte_bpe.WORD_CHARS
+    rows = byte_bpe.decode(byte_bpe.encode(documents(spark, AWKWARD), RANKS, public_tokenizers.PATTERN), RANKS).collect()
+    assert sorted(bytes(r.decoded) for r in rows) == sorted((t or "").encode() for _, t, _ in AWKWARD)
