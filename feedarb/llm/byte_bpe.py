@@ -31,7 +31,7 @@ from feedarb.llm.shared import Memory, slices
 #: Texts that are decoded at a time.
 DECODED_ROWS = 256
 #: Words that a worker remembers, at most twice as many, and bytes of a word that it does remember.
-WORDS = 100_000
+WORDS = 250_000
 WORD_CHARS = 32
 
 
