@@ -27,14 +27,11 @@ from feedarb.functions.timing import int_div
 from feedarb.operators.arbitrate import flag_ignored
 from feedarb.operators.lives import BLOCK_OFFSETS, evictions_only, lives
 from feedarb.operators.tally import verdicts
-from feedarb.operators.windows import closed_windows, first_close, roster, window_number
+from feedarb.operators.windows import closed_windows, first_close, first_copy_after, roster, window_number
 from feedarb.params import ArbitrationParams
-from feedarb.plans.ordered import next_marked
 from feedarb.plans.storage import durable
 from feedarb.sources.landing import GROUP
 
-#: Length of the time slots in which the next copy is looked for.
-SLOT_US = 60 * 1_000_000
 WINDOW = (*GROUP, "window_start_us", "window_end_us")
 
 
@@ -48,38 +45,6 @@ class ClosedLoop(NamedTuple):
     ignored: DataFrame
 
 
-def first_copy_after(feed: DataFrame, points: DataFrame) -> DataFrame:
-    """Offset and arrival of the first copy at or after each point (group, at_us), null if none.
-
-    Copies are combined per time slot, and only slots that hold a point are looked into.
-    """
-    slot = int_div(F.col("arr_us"), SLOT_US).alias("_slot")
-    copy = F.struct("seq_offset", "arr_us")
-    asked = durable(points.select(*GROUP, "at_us", int_div(F.col("at_us"), SLOT_US).alias("_slot")).distinct(), "points")
-    placed = feed.select(*GROUP, "seq_offset", "arr_us", slot)
-    near = (
-        placed.join(asked, [*GROUP, "_slot"])
-        .where(F.col("arr_us") >= F.col("at_us"))
-        .groupBy(*GROUP, "at_us")
-        .agg(F.min(copy).alias("_near"))
-    )
-    firsts = placed.groupBy(*GROUP, "_slot").agg(F.min(copy).alias("_copy"))
-    none = F.lit(None).cast("struct<seq_offset: bigint, arr_us: bigint>")
-    run = durable(
-        firsts.unionByName(asked.select(*GROUP, "_slot").distinct().withColumn("_copy", none))
-        .groupBy(*GROUP, "_slot")
-        .agg(F.max("_copy").alias("_copy")),
-        "slots",
-    )
-    later = next_marked(run, GROUP, "_slot", F.col("_copy").isNotNull(), ["_copy"], "_next")
-    return (
-        asked.join(near, [*GROUP, "at_us"], "left")
-        .join(later.select(*GROUP, "_slot", F.col("_next._copy").alias("_later")), [*GROUP, "_slot"])
-        .withColumn("_copy", F.coalesce("_near", "_later"))
-        .select(*GROUP, "at_us", F.col("_copy.seq_offset").alias("next_offset"), F.col("_copy.arr_us").alias("next_us"))
-    )
-
-
 def _heard_sources(sources: DataFrame, gone: DataFrame) -> DataFrame:
     """Sources that reach the fleet, with ``gone_us`` from which on they are ignored; null: never."""
     gone_at = gone.groupBy(*GROUP, "source_id").agg(F.min("from_us").alias("gone_us"))

@@ -14,15 +14,13 @@ from pyspark.sql import functions as F
 from feedarb.functions.timing import int_div
 from feedarb.operators.arbitrate import drop_ignored, evictions
 from feedarb.operators.tally import verdicts
-from feedarb.operators.windows import roster
+from feedarb.operators.windows import first_copy_after, roster
 from feedarb.params import ArbitrationParams
-from feedarb.plans.ordered import BLOCK_WIDTH, next_marked
+from feedarb.plans.ordered import BLOCK_WIDTH
 from feedarb.plans.storage import durable
 from feedarb.sources.landing import GROUP
 
 WINDOW = (*GROUP, "window_start_us", "window_end_us")
-# A minute of places in a run of instants: two for each microsecond.
-PLACES = 2 * 60 * 1_000_000
 
 
 def ignored_from(named: DataFrame, confirmed: DataFrame | None = None) -> DataFrame:
@@ -93,7 +91,7 @@ def gate_closures(
         .withColumn("_first_us", F.min("at_us").over(W.partitionBy(*GROUP))),
         "fleet",
     )
-    next_copy = _first_copy_after(feed, namings)
+    next_copy = first_copy_after(feed, namings)
     ends = sightings.groupBy(*GROUP).agg(F.max("last_us").alias("last_us"))
     reopened = (
         fleet.where(F.col("step") == 0)
@@ -103,7 +101,7 @@ def gate_closures(
             *GROUP,
             F.col("at_us").alias("closed_us"),
             F.coalesce(
-                F.when(enough, F.col("_next_us")).otherwise(F.col("_restored_us")), "last_us"
+                F.when(enough, F.col("next_us")).otherwise(F.col("_restored_us")), "last_us"
             ).alias("until_us"),
         )
     )
@@ -120,22 +118,6 @@ def gate_closures(
     return cold.unionByName(reopened)
 
 
-def _first_copy_after(feed: DataFrame, closings: DataFrame) -> DataFrame:
-    """Arrival of the first copy at or after each closing.
-
-    Closings and the instants of copies make one ordered run, a closing before the
-    copies of its instant; the next copy in it is a block lookup.
-    """
-    instants = feed.select(*GROUP, F.col("arr_us").alias("at_us")).distinct()
-    run = (
-        instants.withColumn("_copy", F.lit(1))
-        .unionByName(closings.select(*GROUP, "at_us").distinct().withColumn("_copy", F.lit(0)))
-        .withColumn("_place", 2 * F.col("at_us") + F.col("_copy"))
-    )
-    found = next_marked(run, GROUP, "_place", F.col("_copy") == 1, ["at_us"], "_next", PLACES)
-    return found.where("_copy = 0").select(*GROUP, "at_us", F.col("_next.at_us").alias("_next_us"))
-
-
 def _slots(start_us: Column, end_us: Column, width_us: int) -> Column:
     return F.explode(F.sequence(int_div(start_us, width_us), int_div(end_us, width_us)))
 

@@ -54,3 +54,23 @@ def test_no_confirmation_without_a_machine(spark):
     }
     assert {(r.source_id, r.instance_id) for r in removal.confirmations(settled).collect()} == {("n0", "i-1"), ("n1", "i-2")}
     assert not RemovalParams().armed
+
+
+def test_next_copy_of_many_points_equals_a_plain_search(spark):
+    """10,000 points and copies that leave slots empty, share instants and end before the last points."""
+    import bisect
+    import random
+
+    from feedarb.operators.windows import SLOT_US, first_copy_after
+
+    rng = random.Random(4)
+    times = sorted(rng.choice([rng.randint(0, 400 * SLOT_US), rng.randint(0, 9) * 40 * SLOT_US]) for _ in range(1500))
+    points = sorted({rng.randint(0, 410 * SLOT_US) for _ in range(9_000)} | set(times[:1000]))
+    copies = spark.createDataFrame([("t", "x", o, us) for o, us in enumerate(times)], "stream_type string, symbol string, seq_offset bigint, arr_us bigint")
+    asked = spark.createDataFrame([("t", g, us) for us in points for g in ("x", "y")], "stream_type string, symbol string, at_us bigint")
+    got = {(r.symbol, r.at_us): (r.next_offset, r.next_us) for r in first_copy_after(copies, asked).collect()}
+    assert len(got) == 2 * len(points)
+    for us in points:
+        at = bisect.bisect_left(times, us)
+        assert got["x", us] == ((at, times[at]) if at < len(times) else (None, None))
+        assert got["y", us] == (None, None)
