@@ -36,8 +36,9 @@ from feedarb.llm.shared import slices
 ESCAPE = "\\"
 #: Strings that mark something; none has a blank or begins with the escape sign.
 CONTROL = r"\[/?INST\]|</?s>|<</?[^<>\s\\]*>>"
-_control = re.compile(rf"(?:\\)*(?:{CONTROL})")
-_escaped = re.compile(rf"\\((?:\\)*(?:{CONTROL}))")
+# Runs of escape signs are taken whole and from their first sign, so that long ones take linear time.
+_control = re.compile(rf"(?<!\\)\\*+(?:{CONTROL})")
+_escaped = re.compile(rf"(?<!\\)\\(\\*+(?:{CONTROL}))")
 _segment = re.compile(
     r"\[INST\] (?P<user>.*?) \[/INST\]"
     r"|<<(?P<role>(?:[^<>\s\\]|\\u[0-9a-f]{6})*)>> (?P<other>.*?) <</(?P=role)>>"
