@@ -8,12 +8,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*+\"|'[^']*+'|[^\"'>])*+)>"
-    r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)[^>]*>",
-    re.DOTALL,
-)
+_OPENING = re.compile(r"<(?:!--|[!?]|/?(?=[a-zA-Z]))")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_SPECIAL = re.compile(r"[\"'>]")
+#: Decimal references of so many digits are beyond all characters.
+_LONG_REFERENCE = re.compile(r"&#([0-9]{9,})")
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|\d+")
 
@@ -32,7 +31,7 @@ CLOSES = {
     "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"},
 }
 SCOPES = frozenset("ul ol dl table select article section div body html main aside nav".split())
-_raw_end = {name: re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE) for name in RAW}
+_raw_end = {name: re.compile(rf"</{name}\b", re.IGNORECASE) for name in RAW}
 
 
 @dataclass
@@ -66,6 +65,77 @@ def tokens_of(rest: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(found))
 
 
+class Tags:
+    """Tags of a page one after the other, in linear time for any text.
+
+    A name runs to white space, ``/`` or ``>``; a tag ends at the first ``>`` outside quoted values; where a quote in it is never closed,
+    at the first ``>`` at all.  Without any ``>`` left there are no more tags, and comments
+    that are not closed run to the end.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self._special = self._close = -1
+        #: Quotes from which no tag's end is reached.
+        self._dead: set[int] = set()
+
+    def _next_special(self, at: int) -> int:
+        if self._special < at:
+            found = _SPECIAL.search(self.source, at)
+            self._special = found.start() if found else len(self.source)
+        return self._special
+
+    def _quoted_end(self, at: int) -> int:
+        """Where a tag ends whose attributes begin at ``at``; -1 if a quote in it stays open."""
+        source, passed = self.source, []
+        while True:
+            at = self._next_special(at)
+            if at < len(source) and source[at] == ">":
+                return at + 1
+            close = -1
+            if at < len(source) and at not in self._dead:
+                passed.append(at)
+                close = source.find(source[at], at + 1)
+            if close < 0:
+                self._dead.update(passed)
+                self._special = -1
+                return -1
+            at = close + 1
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """Start, end, name (empty for comments and declarations), whether it ends an element, attributes."""
+        source = self.source
+        while found := _OPENING.search(source, at):
+            start, inner = found.span()
+            if found[0] == "<!--":
+                end = source.find("-->", inner)
+                return start, end + 3 if end >= 0 else len(source), "", False, ""
+            if self._close < inner:
+                self._close = source.find(">", inner)
+                if self._close < 0:
+                    self._close = len(source)
+            if self._close == len(source):  # only a comment can follow
+                start = source.find("<!--", start)
+                if start < 0:
+                    return None
+                at = start
+                continue
+            if found[0] in ("<!", "<?"):
+                return start, self._close + 1, "", False, ""
+            name = _NAME.match(source, inner)
+            end = self._quoted_end(name.end())
+            rest = source[name.end() : end - 1] if end >= 0 else ""
+            return start, end if end >= 0 else self._close + 1, name[0].lower(), found[0] == "</", rest
+        return None
+
+
+def _plain(text: str) -> str:
+    """Character references decoded."""
+    if "&" not in text:
+        return text
+    return html.unescape(_LONG_REFERENCE.sub(lambda m: "&#" + (m[1].lstrip("0")[:9] or "0"), text))
+
+
 def parse(source: str | None) -> Page:
     """Lenient: tags that are not closed end with what they are in; stray ends count for nothing.
 
@@ -74,9 +144,23 @@ def parse(source: str | None) -> Page:
     nodes = [Node("#page", -1, 0)]
     blocks: list[tuple[int, str]] = []
     stack = [0]
+    places: dict[str, list[int]] = {}  # of open elements in the stack, by tag
+    scopes: list[int] = []
+    body = 0
     pieces: list[str] = []
     links = linked = inline = 0
 
+    def enter(node: Node) -> None:
+        nonlocal body
+        nodes.append(node)
+        nodes[node.parent].children.append(len(nodes) - 1)
+        places.setdefault(node.tag, []).append(len(stack))
+        if node.tag in SCOPES:
+            scopes.append(len(stack))
+        if node.tag == "body" and not body:
+            body = len(nodes) - 1
+        stack.append(len(nodes) - 1)
+
     def flush() -> None:
         nonlocal pieces, linked, inline
         if pieces:
@@ -84,12 +168,9 @@ def parse(source: str | None) -> Page:
             if text:
                 own = stack[-1]
                 if not own:
-                    own = next((at for at, n in enumerate(nodes) if n.tag == "body"), 0)
-                    if not own:
-                        nodes.append(Node("body", 0, 1))
-                        nodes[0].children.append(len(nodes) - 1)
-                        own = len(nodes) - 1
-                        stack.append(own)
+                    if not body:
+                        enter(Node("body", 0, 1))
+                    own = body
                 node = nodes[own]
                 node.chars += len(text)
                 node.linked += min(linked, len(text))
@@ -102,26 +183,28 @@ def parse(source: str | None) -> Page:
 
     def close(upto: int) -> None:
         flush()
-        del stack[upto:]
+        while len(stack) > upto:
+            tag = nodes[stack.pop()].tag
+            places[tag].pop()
+            if tag in SCOPES:
+                scopes.pop()
 
     source = (source or "").removeprefix("\ufeff")
+    tags = Tags(source)
     at = 0
     while at < len(source):
-        found = _TAG.search(source, at)
-        text = source[at : found.start() if found else len(source)]
+        found = tags.next(at)
+        text = source[at : found[0] if found else len(source)]
         if text:
-            if "&" in text:
-                text = html.unescape(text)
+            text = _plain(text)
             pieces.append(text)
             if links:
                 linked += len(text)
         if not found:
             break
-        at = found.end()
-        name = (found["name"] or found["name2"] or "").lower()
+        _, at, name, ends, rest = found
         if not name:
             continue
-        ends = bool(found["end"] or found["end2"])
         if name in INLINE:
             inline += 1
             if name == "a":
@@ -132,16 +215,15 @@ def parse(source: str | None) -> Page:
             continue
         if ends:
             links = 0
-            for place in range(len(stack) - 1, 0, -1):
-                if nodes[stack[place]].tag == name:
-                    close(place)
-                    break
+            if places.get(name):
+                close(places[name][-1])
             else:
                 flush()
             continue
         if name in RAW:
             end = _raw_end[name].search(source, at)
-            at = end.end() if end else len(source)
+            at = source.find(">", end.end()) + 1 if end else 0
+            at = at or len(source)
             nodes[stack[-1]].elements += 1
             continue
         flush()
@@ -149,18 +231,11 @@ def parse(source: str | None) -> Page:
             nodes[stack[-1]].elements += 1
             continue
         links = 0
-        closed = CLOSES.get(name, {"p"})
-        for place in range(len(stack) - 1, 0, -1):
-            tag = nodes[stack[place]].tag
-            if tag in closed or tag == "p":
-                close(place)
-                break
-            if tag in SCOPES:
-                break
+        closed = max((places[tag][-1] for tag in ("p", *CLOSES.get(name, ())) if places.get(tag)), default=0)
+        if closed > (scopes[-1] if scopes else 0):
+            close(closed)
         parent = stack[-1]
-        nodes.append(Node(name, parent, nodes[parent].depth + 1, tokens_of(found["rest"] or "")))
-        nodes[parent].children.append(len(nodes) - 1)
-        stack.append(len(nodes) - 1)
+        enter(Node(name, parent, nodes[parent].depth + 1, tokens_of(rest)))
     flush()
     for place in range(len(nodes) - 1, 0, -1):  # parents come before their children
         own, above = nodes[place], nodes[nodes[place].parent]

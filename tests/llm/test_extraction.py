@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
 from feedarb.llm import dom, extraction
+from feedarb.llm.dom import parse
 
 SCHEMA = "page_id long, url string, html string, text string, n_chars int"
 
@@ -92,3 +94,32 @@ def test_long_attribute_values(name):
 def test_text_outside_all_elements(spark, model, source, want):
     found = extraction.extracted(spark.createDataFrame([(1, "u", source, "t", 1)], SCHEMA), *model).first()
     assert found.text == "\n".join(want)
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, "<!" * 500_000, "<a<a" * 250_000, '<a "x>" ' * 130_000 + "'", "<script>" + "</script " * 110_000, "&#" + "9" * 1_000_000],
+)
+def test_text_of_open_tags_takes_linear_time(page):
+    start = time.process_time()
+    parse(page)
+    assert time.process_time() - start < 3  # below 1 s on an idle machine; hours if quadratic
+
+
+def test_stray_ends_and_deep_nesting_take_linear_time():
+    start = time.process_time()
+    deep = parse("<div>" * 20_000 + "</b1>" * 20_000 + "text")
+    nested = parse("<li><ul>" + "<x1>" * 20_000 + "<li></li>" * 20_000 + "text")
+    assert time.process_time() - start < 10
+    assert len(deep.nodes) == 20_001 and [t for _, t in deep.blocks + nested.blocks] == ["text", "text"]
+
+
+def test_open_tags_comments_and_long_references():
+    def texts(page):
+        return [t for _, t in parse(page).blocks]
+
+    assert texts("<p>one</p><a <b <!-- gone --> two") == ["one", "two"]
+    assert texts("<p>one</p> a < b <i unclosed") == ["one", "a < b <i unclosed"]
+    assert texts("<p>one <!-- never closed > </p>") == ["one"]
+    assert texts("""<p title="a > b">one</p><p title="open>two</p>""") == ["one", "two"]
+    assert texts("&#00000000065;&#" + "9" * 5000 + ";") == ["A�"]
