@@ -10,9 +10,11 @@ taken in order of their id.  Nothing is rounded, so the result is exact.
 
 Queries are dealt to chunks and candidates to ``parts``; each part of each chunk is a stream
 of its queries first, then its candidates block by block, and gives k rows per query at most.
-Vectors that are null or hold null or non-finite components take no part.  Missing components
-of shorter vectors count as zero.  Components are limited to ``LIMIT`` in size and scores to
-what a long holds.  A row with the query's own id is never its candidate.
+Vectors that are null or hold null or non-finite components take no part, nor do rows without
+an id.  Missing components of shorter vectors count as zero.  Quantised components are whole
+numbers of any size, and scores are exact.  A score that a long does not hold ends the query with an
+error where it is among the best of a part.  A row with the query's own id is never its candidate;
+queries that share an id share its k rows, and a candidate that comes twice counts twice.
 """
 
 from __future__ import annotations
@@ -27,19 +29,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SCALE = 1024
-LIMIT = 1 << 40
+#: Doubles from here on are whole numbers.
+WHOLE = float(1 << 53)
 #: Candidates in a block, queries in a chunk.
 BLOCK, CHUNK = 8192, 4096
 
 
 def quantised(vector: Column) -> Column:
-    """floor(SCALE * x) of each component as array<long>; null if the vector takes no part."""
+    """floor(SCALE * x) of each component, x a double, as array<double>; null if the vector takes no part."""
     valid = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
-    scaled = F.transform(
-        vector,
-        lambda x: F.floor(F.least(F.greatest(x.cast("double") * SCALE, F.lit(-float(LIMIT))), F.lit(float(LIMIT)))).cast("long"),
-    )
-    return F.when(valid, scaled)
+
+    def floor(x: Column) -> Column:
+        return F.when(F.abs(x) < WHOLE, F.floor(x).cast("double")).otherwise(x)
+
+    return F.when(valid, F.transform(vector, lambda x: floor(x.cast("double") * SCALE)))
+
+
+def integers(vectors: list[list[float]]) -> np.ndarray:
+    """One row of whole numbers per vector, filled up with 0: int64, or Python's where that is too small."""
+    values = np.zeros((len(vectors), max(map(len, vectors), default=0)))
+    for at, vector in enumerate(vectors):
+        values[at, : len(vector)] = vector
+    if np.abs(values).max(initial=0) < 1 << 62:  # so that differences fit as well
+        return values.astype(np.int64)
+    if not np.isfinite(values).all():
+        raise ValueError("a component times the scale is beyond all doubles: no long holds its scores")
+    return np.array([[int(x) for x in row] for row in values.tolist()], dtype=object)
 
 
 def _sum_slices(slices: dict[int, list[int]]) -> list[int]:
@@ -145,9 +160,9 @@ class BitSlices:
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
-    """``query_id``, ``rank`` from 1, ``vec_id`` and ``score``; inputs have vec_id and vector (array<long>)."""
-    queries = queries.where("vector is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "vector")
-    candidates = candidates.where("vector is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "vector")
+    """``query_id``, ``rank`` from 1, ``vec_id`` and ``score``; inputs have vec_id and vector (``quantised``)."""
+    queries = queries.where("vec_id is not null and vector is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "vector")
+    candidates = candidates.where("vec_id is not null and vector is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "vector")
     spark = queries.sparkSession
     chunks = max(1, -(-queries.count() // CHUNK))
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-candidates.count() // (BLOCK // 4))))
@@ -169,11 +184,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
         def block() -> None:
             if not waiting:
                 return
-            width = max(len(v) for _, v in waiting)
-            values = np.zeros((len(waiting), width), np.int64)
-            for at, (_, vector) in enumerate(waiting):
-                values[at, : len(vector)] = vector
-            index = BitSlices(np.array([i for i, _ in waiting], np.int64), values)
+            index = BitSlices(np.array([i for i, _ in waiting], np.int64), integers([v for _, v in waiting]))
             waiting.clear()
             for at, (query_id, vector) in enumerate(asking):
                 best = found[at] + index.best(vector, query_id, k)
@@ -181,7 +192,9 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
 
         def result() -> Iterator[pa.RecordBatch]:
             block()
-            rows = [(q, i, max(-(1 << 63), min((1 << 63) - 1, s))) for (q, _), best in zip(asking, found) for s, i in best]
+            rows = [(q, i, s) for (q, _), best in zip(asking, found) for s, i in best]
+            if beyond := next((r for r in rows if not -(1 << 63) <= r[2] < 1 << 63), None):
+                raise ValueError(f"no long holds the score of query {beyond[0]} and vector {beyond[1]}")
             asking.clear()
             found.clear()
             if rows:
@@ -194,7 +207,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
                     yield from result()
                     own = (chunk, part)
                 if kind == 0:
-                    asking.append((vec_id, vector))
+                    asking.append((vec_id, integers([vector])[0].tolist()))
                     found.append([])
                 elif asking:
                     waiting.append((vec_id, vector))

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from feedarb.llm import topk
@@ -43,12 +44,34 @@ def test_many_chunks_and_blocks(spark, monkeypatch):
 
 
 def test_awkward_vectors(spark):
-    rows = [(0, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [1.0]), (6, []), (100, [-1.0, 0.5]), (7, [1e30, 0.0])]
-    found = run(spark, rows)
-    limited = [(i, [min(x, 2.0**30) for x in v] if i == 7 else v) for i, v in rows]
-    assert found == plain(limited, 10)
+    rows = [(0, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [1.0]), (6, []), (100, [-1.0, 0.5]), (7, [1e9, 0.0])]
+    assert run(spark, rows) == plain(rows, 10)
+    assert run(spark, [*rows, (None, [5.0, 5.0])]) == plain(rows, 10)
     assert run(spark, []) == set()
     assert run(spark, [(0, [1.0])]) == set()
+    assert run(spark, [(0, None), (None, None)]) == set()
+
+
+def test_large_components_are_exact(spark):
+    rows = [(0, [0.001]), (1, [2.0**31]), (2, [2.0**32]), (3, [-(2.0**31)])]
+    assert run(spark, rows) == plain(rows, 10) == {(0, 1, 2, 4398046511104), (0, 2, 1, 2199023255552), (0, 3, 3, -2199023255552)}
+    # Beyond 64 bits on the way: bits of 2^80 that meet zeros only.
+    rows = [(0, [0.0, 1.0]), (1, [2.0**70, 3.0]), (2, [-(2.0**70), 4.0]), (3, [2.0**52 + 1, 4.0])]
+    assert run(spark, rows) == plain(rows, 10)
+
+
+def test_scores_beyond_a_long_end_the_query(spark):
+    with pytest.raises(Exception, match="no long holds the score of query 0 and vector 1"):
+        run(spark, [(0, [2.0**40]), (1, [2.0**40])])
+
+
+def test_repeated_ids(spark):
+    rows = [(0, [1.0]), (0, [2.0]), (1, [3.0]), (1, [3.0])]
+    data = spark.createDataFrame([(i, v, 1, "x", 2) for i, v in rows], SCHEMA)
+    data = data.select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    found = [(r.query_id, r.vec_id, r.score) for r in topk.top_k(data.where("vec_id = 0"), data).collect()]
+    square = 1024 * 1024
+    assert sorted(found) == sorted([(0, 1, 3 * square)] * 2 + [(0, 1, 6 * square)] * 2)
 
 
 def test_registered_query_equals_brute_force(spark):
