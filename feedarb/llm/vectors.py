@@ -12,7 +12,10 @@ links are dense, not the pairs.  Components and one representative of each follo
 
 Centroids are fitted on about ``SAMPLE`` classes at most, drawn by hash; all rows are indexed.
 Vectors that are null, of no length, or hold null or non-finite components link with nothing,
-as do those without a label; vectors of different dimension never link.
+as do those without a label; vectors of different dimension never link.  Classes are numbered when
+they are written, so ids decide nothing but the name of a component: rows may share an id or
+have none.  A row without an id links like others, names no component and is never kept.
+Components are read in the precision they come in, labels as 64-bit integers.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from feedarb.llm.components import components
 from feedarb.llm.shared import unit
@@ -81,8 +85,9 @@ def _assigned(classes: DataFrame, centers_by_size: dict[int, np.ndarray], reach:
                     [*part.schema.names, "home", "visits"],
                 )
 
-    schema = "label int, vector array<float>, dims int, cls long, copies long, home int, visits array<int>"
-    return classes.mapInArrow(assign, schema)
+    vector = classes.schema["vector"].dataType.simpleString()
+    schema = f"label long, vector {vector}, dims int, cls long, copies long, home int, visits array<int>"
+    return classes.select("label", "vector", "dims", "cls", "copies").mapInArrow(assign, schema)
 
 
 def _spread(hits: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -200,23 +205,26 @@ def _unit_links(placed: DataFrame, least: float) -> DataFrame:
 
 def near_duplicates(rows: DataFrame, least: float = 0.98) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` for each row (vec_id, embedding, label)."""
+    single = rows.schema["embedding"].dataType == ArrayType(FloatType(), rows.schema["embedding"].dataType.containsNull)
     rows = rows.select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.col("label").cast("int").alias("label"),
-        F.col("embedding").cast("array<float>").alias("vector"),
+        F.col("label").cast("long").alias("label"),
+        F.col("embedding").cast("array<float>" if single else "array<double>").alias("vector"),
     )
     can_link = F.col("label").isNotNull() & usable(F.col("vector"))
     classes = durable(
         rows.where(can_link)
         .groupBy("label", "vector")
-        .agg(F.min("vec_id").alias("cls"), F.count("*").alias("copies"))
-        .select("label", "vector", F.size("vector").alias("dims"), "cls", "copies"),
+        .agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
+        .select(
+            "label", "vector", F.size("vector").alias("dims"), F.monotonically_increasing_id().alias("cls"), "copies", "first"
+        ),
         "classes",
-    )
+    )
     reach = float(np.sqrt(2 - 2 * least)) / 2
     total = classes.count()
-    drawn = classes.where(unit(F.col("cls"), F.col("label"), seed=3) < SAMPLE / max(1, total))
-    sample = drawn.orderBy("cls", "label").select("dims", "vector").toArrow().combine_chunks()
+    drawn = classes.where(unit(F.col("vector"), F.col("label"), seed=3) < SAMPLE / max(1, total))
+    sample = drawn.orderBy("label", "vector").select("dims", "vector").toArrow().combine_chunks()
     by_size: dict[int, np.ndarray] = {}
     sizes = sample.column("dims").to_numpy()
     for dims in np.unique(sizes).tolist():
@@ -243,14 +251,17 @@ def near_duplicates(rows: DataFrame, least: float = 0.98) -> DataFrame:
     found = durable(_unit_links(placed, least), "links")
 
     counts = found.where("cls is not null").groupBy("cls").agg(F.sum("found").alias("found"))
-    joined = components(found.where("a is not null")).withColumnRenamed("node", "cls")
+    joined = durable(components(found.where("a is not null")).withColumnRenamed("node", "cls"), "joined")
+    names = joined.join(classes.select("cls", "first"), "cls").groupBy("component").agg(F.min("first").alias("name"))
+    # Each class of a component of several; one name a component, written so that its size is known.
+    named = joined.join(durable(names, "names"), "component").select("cls", "name", F.lit(True).alias("linked"))
     named = (
         classes.join(counts, "cls", "left")
-        .join(joined, "cls", "left")
+        .join(named, "cls", "left")
         .select(
             F.col("label").alias("own_label"), F.col("vector").alias("own_vector"),
             (F.col("copies") - 1 + F.coalesce("found", F.lit(0))).alias("links"),
-            F.coalesce("component", "cls").alias("component"),
+            F.when(F.col("linked"), F.col("name")).otherwise(F.col("first")).alias("component"),
         )
     )
     same = (F.col("label") == F.col("own_label")) & (F.col("vector") == F.col("own_vector")) & usable(F.col("vector"))
@@ -258,5 +269,5 @@ def near_duplicates(rows: DataFrame, least: float = 0.98) -> DataFrame:
         "vec_id",
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component", "vec_id").alias("component_id"),
-        (F.col("vec_id") == F.coalesce("component", "vec_id")).alias("kept"),
+        F.coalesce(F.col("vec_id") == F.coalesce("component", "vec_id"), F.lit(False)).alias("kept"),
     )

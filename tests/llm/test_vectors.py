@@ -28,11 +28,15 @@ def plain(rows, least=0.98):
     return {(i, links[i], least_id[i], least_id[i] == i) for i in links}
 
 
-def run(spark, rows):
+def run_rows(spark, rows):
     data = spark.createDataFrame([(i, v, label, 1, "x", 2) for i, v, label in rows], SCHEMA)
     found = vectors.near_duplicates(data).collect()
     assert len(found) == len(rows)
-    return {tuple(r) for r in found}
+    return [tuple(r) for r in found]
+
+
+def run(spark, rows):
+    return set(run_rows(spark, rows))
 
 
 def some_rows(count, dims=6, seed=1):
@@ -72,6 +76,33 @@ def test_awkward_vectors(spark):
     assert run(spark, []) == set()
 
 
+def test_repeated_ids_are_vectors_of_their_own(spark):
+    assert sorted(run_rows(spark, [(5, [1.0, 0.0], 0), (5, [0.0, 1.0], 0), (6, [1.0, 0.01], 0)])) == [
+        (5, 0, 5, True), (5, 1, 5, True), (6, 1, 5, False),
+    ]
+
+
+def test_rows_without_an_id_link_like_others(spark):
+    rows = [(None, [1.0, 0.0], 0), (8, [1.0, 0.01], 0), (7, [1.0, 0.02], 0), (None, [0.0, 1.0], 0), (None, [0.0, 1.0], 0), (None, None, 0)]
+    found = run_rows(spark, rows)
+    assert sorted(found, key=str) == sorted(
+        [(None, 2, 7, False), (8, 2, 7, False), (7, 2, 7, True), (None, 1, None, False), (None, 1, None, False), (None, 0, None, False)],
+        key=str,
+    )
+
+
+def test_long_labels_and_double_precision(spark):
+    big = 2**32
+    rows = [(1, [1.0, 0.0], big), (2, [1.0, 0.0], 0), (3, [1.0, 1e-3], big), (4, [1.0, 1e-12], big)]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")
+    assert {tuple(r) for r in vectors.near_duplicates(data).collect()} == plain(rows)
+    # cos = 0.98 lies between these two, which single precision makes one vector.
+    edge = math.sqrt(1 / 0.98**2 - 1)
+    rows = [(1, [1.0, 0.0], 0), (2, [1.0, edge - 1e-12], 0), (3, [1.0, edge + 1e-12], 0)]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")
+    assert sorted(tuple(r) for r in vectors.near_duplicates(data).collect()) == [(1, 1, 1, True), (2, 2, 1, False), (3, 1, 1, False)]
+
+
 def test_recall_of_the_registered_query(spark):
     from feedarb.llm import queries
 
