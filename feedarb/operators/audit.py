@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedarb.functions.json import member_kind, parse_whole
+from feedarb.functions.json import last_of_repeated, member, members, typed_members
 from feedarb.functions.keys import audit_partition
 from feedarb.sources.landing import GROUP
 
@@ -105,29 +105,37 @@ def encode_all(messages: Mapping[str, DataFrame], partitions: int) -> DataFrame:
     return log
 
 
+# Strings that the reader takes for doubles.
+_NUMBER_NAMES = ("NaN", "Infinity", "+Infinity", "-Infinity", "INF", "+INF", "-INF")
+
+
 def _status() -> Column:
-    """Verdict on one message from its ``_keys``, ``_kind`` and member kinds."""
-    kind = F.col("_kind")
-    version = F.col("_version").try_cast("double")
-    comparable = F.col("_version_kind").isNull() | F.col("_version_kind").rlike(
-        "^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"
+    """Verdict on one message from its text, its ``_keys``, ``_kind``, ``_version`` and ``_shape``."""
+    kind, text, number = F.col("_kind"), F.col("_text"), F.col("_shape.schema_version")
+    truth = F.col("_version").isin("true", "false") & typed_members(text, "schema_version boolean")["schema_version"].isNotNull()
+    comparable = (
+        ~F.array_contains("_keys", "schema_version")
+        | (number.isNotNull() & ~F.col("_version").isin(*_NUMBER_NAMES))
+        | F.coalesce(truth, F.lit(False))
+    )
+    nested = (
+        typed_members(text, "type array<string>")["type"].isNotNull()
+        | typed_members(text, "type map<string,string>")["type"].isNotNull()
     )
     incomplete = F.lit(False)
     for name, fields in WIRE.items():
         required = [F.lit(f) for f in fields if f not in OPTIONAL[name]]
         lacking = F.size(F.array_except(F.array(*required), F.col("_keys"))) > 0
         if "counts" in fields:
-            lacking = lacking | ~F.col("_counts_kind").startswith("OBJECT")
+            lacking = lacking | F.col("_shape.counts").isNull()
         if "ignored_sources" in fields:
-            lacking = lacking | ~F.col("_ignored_kind").startswith("ARRAY")
+            lacking = lacking | F.col("_shape.ignored_sources").isNull()
         incomplete = F.when(kind == name, lacking).otherwise(incomplete)
     return (
-        F.when(F.col("_keys").isNull() | F.col("_parsed").isNull(), "malformed")
-        .when(F.coalesce("_type_kind", F.lit("VOID")) == "VOID", "malformed")
+        F.when(F.col("_keys").isNull() | kind.isNull(), "malformed")
         .when(~comparable, "malformed")
-        .when(F.coalesce(version > SCHEMA_VERSION, F.lit(False)), "unrecognised")
-        .when(F.col("_type_kind").rlike("^(ARRAY|OBJECT)"), "malformed")
-        .when(~kind.isin(*WIRE), "unrecognised")
+        .when(F.coalesce(number > SCHEMA_VERSION, F.lit(False)) & ~F.isnan(number), "unrecognised")
+        .when(~kind.isin(*WIRE), F.when(nested, "malformed").otherwise("unrecognised"))
         .when(F.coalesce(incomplete, F.lit(True)), "malformed")
         .otherwise("ok")
     )
@@ -145,26 +153,20 @@ def decode(log: DataFrame) -> DataFrame:
     """
     ok = F.col("decode_status") == "ok"
     schema = ", ".join(f"{name} {dtype}" for name, dtype in _MEMBERS.items())
-    text, parsed = F.col("_text"), F.col("_parsed")
-    # Each step parses once and hands on what it found.  The one-row generators keep
-    # later filters from repeating a step's expressions.
+    text = F.col("_text")
+    # Each step hands on what it found.  The one-row generators keep later filters from
+    # repeating a step's expressions.
     found = log.withColumn("_text", F.try_validate_utf8(F.col("value").cast("string"))).select(
-        *log.columns,
-        "_text",
-        _computed_once(_parsed=parse_whole(text), _keys=F.json_object_keys(text)),
+        *log.columns, "_text", _computed_once(_members=members(text))
     )
     kinds = found.select(
         *log.columns,
         "_text",
-        "_parsed",
-        "_keys",
         _computed_once(
-            _kind=F.try_variant_get(parsed, "$.v.type", "string"),
-            _version=F.try_variant_get(parsed, "$.v.schema_version", "string"),
-            _type_kind=member_kind(parsed, "type"),
-            _version_kind=member_kind(parsed, "schema_version"),
-            _counts_kind=member_kind(parsed, "counts"),
-            _ignored_kind=member_kind(parsed, "ignored_sources"),
+            _keys=F.transform("_members", lambda e: e["key"]),
+            _kind=member(F.col("_members"), "type"),
+            _version=member(F.col("_members"), "schema_version"),
+            _shape=typed_members(text, "schema_version double, counts map<string,string>, ignored_sources array<string>"),
         ),
     )
     read = kinds.select(
@@ -173,7 +175,7 @@ def decode(log: DataFrame) -> DataFrame:
         *log.columns,
         "decode_status",
         F.when(ok, F.col("_kind")).alias("message_type"),
-        _computed_once(_body=F.when(ok, F.from_json(text, schema))),
+        _computed_once(_body=F.when(ok, typed_members(text, schema))),
     )
     return read.select(
         *log.columns,
@@ -182,7 +184,7 @@ def decode(log: DataFrame) -> DataFrame:
         *[
             F.when(
                 F.col("message_type").isin(*[k for k, f in WIRE.items() if name in f]),
-                F.col("_body")[name],
+                last_of_repeated(F.col("_body")[name]) if name == "counts" else F.col("_body")[name],
             ).alias(name)
             for name in _MEMBERS
         ],

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedarb.functions.headers import header_bytes, header_value, is_broken_text, text_of
-from feedarb.functions.json import is_json_object, plain_numbers
+from feedarb.functions.json import is_json_object, normalised
 from feedarb.functions.keys import message_key
 from feedarb.sources.catalogue import with_catalogue
 
@@ -74,7 +74,7 @@ def shape_captured(captured: DataFrame, catalogue: DataFrame) -> DataFrame:
     path = F.concat(F.lit("$."), F.col("id_field"))
     event_id = F.coalesce(
         F.call_function("get_json_object", F.col("line"), path),
-        F.call_function("get_json_object", plain_numbers(F.col("line")), path),
+        F.call_function("get_json_object", normalised(F.col("line")), path),
     )
     valid = F.col("_valid")
     return (

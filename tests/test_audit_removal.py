@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,14 +81,94 @@ CASES = [
 ]
 
 
+def with_last(body, **changes):
+    """The same names once more at the end."""
+    return body[:-1] + "," + json.dumps(changes)[1:]
+
+
+TOLERANT = [
+    (with_last(json.dumps(VERDICT), type="kill_confirmed"), "malformed"),
+    (with_last(json.dumps({**VERDICT, "type": "other"}), type="verdict"), "ok"),
+    (with_last(json.dumps(VERDICT), type="other"), "unrecognised"),
+    (with_last(json.dumps(VERDICT), type=None), "malformed"),
+    (with_last(json.dumps(VERDICT), schema_version=2), "unrecognised"),
+    (with_last(without(schema_version="1"), schema_version=1), "ok"),
+    (with_last(json.dumps(VERDICT), counts=None), "malformed"),
+    (without(window_start=float("nan")), "ok"),
+    (without(schema_version=float("nan")), "ok"),
+    (without(schema_version=float("-inf")), "ok"),
+    (without(schema_version=float("inf")), "unrecognised"),
+    (without(schema_version="NaN"), "malformed"),
+    (without(schema_version="Infinity"), "malformed"),
+    (without(schema_version="true"), "malformed"),
+    (without(schema_version=[1]), "malformed"),
+    (without(type="[1]"), "unrecognised"),
+    (without(type="{}"), "unrecognised"),
+    (without(type={"a": 1}), "malformed"),
+    (without(type="NaN"), "unrecognised"),
+    (without(type=float("nan")), "unrecognised"),
+    (without(counts="{}"), "malformed"),
+    (json.dumps({**STALL, "ignored_sources": "[]"}), "malformed"),
+    (json.dumps({**STALL, "ignored_sources": []}), "ok"),
+    (json.dumps(VERDICT).replace('"', "'"), "malformed"),
+    (json.dumps(VERDICT) + "," + json.dumps({"v": VERDICT})[1:-1], "malformed"),
+    ('"{}"', "malformed"),
+    (without(schema_version=1.0), "ok"),
+    (json.dumps(VERDICT)[:-1] + ',"extra":NaN}', "ok"),
+    (json.dumps(VERDICT)[:-1] + ',"extra":nan}', "malformed"),
+]
+
+
+def as_python_reads(body):
+    """The rules on the parsed text: newer first, then unknown, then incomplete."""
+    try:
+        read = json.loads(body)
+    except ValueError:
+        return "malformed"
+    if not isinstance(read, dict) or read.get("type") is None:
+        return "malformed"
+    version = read.get("schema_version", 1)
+    if not isinstance(version, (int, float)):
+        return "malformed"
+    if version > 1:
+        return "unrecognised"
+    if isinstance(read["type"], (list, dict)):
+        return "malformed"
+    fields = audit.WIRE.get(read["type"])
+    if fields is None:
+        return "unrecognised"
+    lacking = set(fields) - set(audit.OPTIONAL[read["type"]]) - set(read)
+    wrong = "counts" in fields and not isinstance(read.get("counts"), dict)
+    wrong |= "ignored_sources" in fields and not isinstance(read.get("ignored_sources"), list)
+    return "malformed" if lacking or wrong else "ok"
+
+
 def log(spark, bodies):
     rows = [(0, i, b.encode() if isinstance(b, str) else b) for i, b in enumerate(bodies)]
     return spark.createDataFrame(rows, "partition int, offset bigint, value binary")
 
 
+def test_log_messages_are_read_as_other_readers_do(spark):
+    assert [as_python_reads(body) for body, _ in TOLERANT] == [status for _, status in TOLERANT]
+    got = audit.decode(log(spark, [body for body, _ in TOLERANT])).orderBy("offset").collect()
+    assert [r.decode_status for r in got] == [status for _, status in TOLERANT]
+
+
+def test_last_of_repeated_members_and_untouched_strings(spark):
+    counts = json.dumps(VERDICT).replace('{"n": 1, "m": 2}', '{"n": 1, "m": 2, "n": 7}')
+    twice = with_last(json.dumps(VERDICT), slowest_source_id="z", window_end=4.5, reason='a NaN, {"b": -Infinity}')
+    times = without(window_start=float("nan"), window_end=float("inf"))
+    read = audit.decode(log(spark, [counts, twice, times])).orderBy("offset").collect()
+    assert (read[0].counts, read[0].total_events) == ({"n": 7, "m": 2}, 3)
+    assert (read[1].slowest_source_id, read[1].window_end, read[1].reason) == ("z", 4.5, 'a NaN, {"b": -Infinity}')
+    assert math.isnan(read[2].window_start) and read[2].window_end == math.inf
+    assert [r.is_actionable for r in read] == [True] * 3
+
+
 def test_decode_status(spark):
     got = audit.decode(log(spark, [c[0] for c in CASES])).orderBy("offset").collect()
     assert [r.decode_status for r in got] == [c[1] for c in CASES]
+    assert all(as_python_reads(b) == status for b, status in CASES if isinstance(b, str))
     first = got[0]
     assert (first.window_end, first.counts, first.is_actionable) == (9.25, {"n": 1, "m": 2}, True)
     assert got[2].is_actionable is False and got[3].is_actionable is None

@@ -121,6 +121,8 @@ def test_captured_lines(spark):
         ("trade", '{"t": 12},"x":{"y":1}', None, "bad_json"),
         ("trade", '{"t": 12, "x": {"q": 1, "q": 2}}', "t:12", None),
         ("trade", '{"t": 12, "x": NaN}', "t:12", None),
+        ("trade", '{"x": NaN, "t": "a NaN, b"}', "t:a NaN, b", None),
+        ("trade", "{'t': 12}", None, "bad_json"),
         ("trade", "[12]", None, "bad_json"),
         ("trade", "", None, "bad_json"),
         ("trade", '{"x":{"t":1}}', None, "missing_id"),
@@ -135,7 +137,7 @@ def test_captured_lines(spark):
     assert [(r.msg_key, r.drop_reason) for r in got] == [line[2:] for line in lines]
     assert {r.symbol for r in got} == {"sym"}
     sent = ingest.raw_messages(shaped, keys.topic_partition(F.col("stream_type"), F.col("symbol"), 6))
-    assert ingest.validate_raw(sent).where("drop_reason is null").count() == 4
+    assert ingest.validate_raw(sent).where("drop_reason is null").count() == 5
     assert bytes(sent.first().value).decode() == lines[0][1]
     more = stream_catalogue(spark, (("futures", "futures", "f", "t"),))
     assert ingest.shape_captured(df, more).where("msg_key = 'f:1'").count() == 1
