@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 
 from feedarb.functions.timing import int_div, next_tick
 from feedarb.params import ArbitrationParams
-from feedarb.plans.ordered import next_marked
+from feedarb.plans.ordered import next_marked, running_sum
 from feedarb.plans.storage import durable
 from feedarb.sources.landing import GROUP
 
 #: Length of the time slots in which the next copy is looked for.
 SLOT_US = 60 * 1_000_000
+#: Length of the blocks of time in which sources at a gate are counted.
+STALL_WIDTH = 24 * 3600 * 1_000_000
 
 
 def roster(copies: DataFrame) -> DataFrame:
@@ -105,18 +107,32 @@ def credited(evicted: DataFrame, gates: DataFrame, params: ArbitrationParams) ->
     )
 
 
-def window_presence(sources: DataFrame, gates: DataFrame, params: ArbitrationParams) -> DataFrame:
-    """(group, closed window, source): sources confirmed or publishing by its close."""
-    first = window_number(F.greatest("first_us", "open_us"), params)
+def presence_runs(sources: DataFrame, gates: DataFrame, params: ArbitrationParams) -> DataFrame:
+    """(group, source, from_window, to_window): closed windows by whose end it was confirmed or publishing.
+
+    One row per source, however many windows it stays.
+    """
     return (
         sources.drop("last_us")
         .join(gates, [*GROUP])
-        .where(F.col("open_us").isNotNull() & (first < closed_windows(params)))
+        .where(F.col("open_us").isNotNull())
         .select(
             *GROUP,
             "source_id",
-            F.explode(F.sequence(first, closed_windows(params) - 1)).alias("window_no"),
+            "first_offset",
+            window_number(F.greatest("first_us", "open_us"), params).alias("from_window"),
+            (closed_windows(params) - 1).alias("to_window"),
         )
+        .where("from_window <= to_window")
+    )
+
+
+def window_presence(sources: DataFrame, gates: DataFrame, params: ArbitrationParams) -> DataFrame:
+    """(group, closed window, source): sources confirmed or publishing by its close."""
+    return presence_runs(sources, gates, params).select(
+        *GROUP,
+        "source_id",
+        F.explode(F.sequence("from_window", "to_window")).alias("window_no"),
     )
 
 
@@ -169,30 +185,40 @@ def stall_warnings(
         .withColumn("emitted_us", F.explode(F.sequence(first, F.col("until_us"), step)))
         .select(*GROUP, "closed_us", "emitted_us")
     )
-    earliest = ignored_from.groupBy(*GROUP, "source_id").agg(F.min("from_us").alias("from_us"))
-    # One list per group, an entry per machine; warnings look things up in it.
-    fleet = (
-        sightings.select(*GROUP, "source_id", "first_us")
-        .join(earliest, [*GROUP, "source_id"], "full")
-        .groupBy(*GROUP)
-        .agg(F.collect_list(F.struct("source_id", "first_us", "from_us")).alias("_fleet"))
+    warned = durable(warned, "warned")
+    earliest = durable(ignored_from.groupBy(*GROUP, "source_id").agg(F.min("from_us").alias("from_us")), "gone")
+    # A source counts after its first sighting and before it is gone: changes by instant, summed up.
+    seen = sightings.join(earliest, [*GROUP, "source_id"], "left").select(
+        *GROUP, (F.col("first_us") + 1).alias("at_us"), F.col("from_us").alias("gone_us")
     )
-    now = F.col("emitted_us")
-
-    def gone(source: Column) -> Column:
-        return F.coalesce(source["from_us"] <= now, F.lit(False))
-
-    def present(source: Column) -> Column:
-        return (source["first_us"] < now) & ~gone(source)
-
-    return warned.join(fleet, [*GROUP]).select(
-        *GROUP,
-        "closed_us",
-        "emitted_us",
-        F.size(F.filter("_fleet", present)).cast("bigint").alias("sources_confirmed"),
-        F.array_sort(
-            F.transform(F.filter("_fleet", gone), lambda source: source["source_id"])
-        ).alias("ignored_sources"),
-        F.lit(params.expected_sources).cast("bigint").alias("sources_expected"),
-        (now - F.col("closed_us")).alias("stalled_for_us"),
+    seen = seen.where("gone_us is null or gone_us > at_us")
+    none = F.lit(0).cast("bigint")
+    changes = (
+        seen.select(*GROUP, "at_us", (none + 1).alias("_change"))
+        .union(seen.where("gone_us is not null").select(*GROUP, "gone_us", none - 1))
+        .union(warned.select(*GROUP, "emitted_us", none))
+        .groupBy(*GROUP, "at_us")
+        .agg(F.sum("_change").alias("_change"))
+    )
+    counted = running_sum(durable(changes, "changes"), GROUP, "at_us", F.col("_change"), "sources_confirmed", STALL_WIDTH)
+    counted = counted.select(*GROUP, F.col("at_us").alias("emitted_us"), "sources_confirmed")
+    # A message names who is gone, so this list is as long as the message.
+    named = (
+        warned.join(earliest, [*GROUP])
+        .where("from_us <= emitted_us")
+        .groupBy(*GROUP, "closed_us", "emitted_us")
+        .agg(F.array_sort(F.collect_list("source_id")).alias("ignored_sources"))
+    )
+    return (
+        warned.join(counted, [*GROUP, "emitted_us"])
+        .join(named, [*GROUP, "closed_us", "emitted_us"], "left")
+        .select(
+            *GROUP,
+            "closed_us",
+            "emitted_us",
+            "sources_confirmed",
+            F.coalesce("ignored_sources", F.array().cast("array<string>")).alias("ignored_sources"),
+            F.lit(params.expected_sources).cast("bigint").alias("sources_expected"),
+            (F.col("emitted_us") - F.col("closed_us")).alias("stalled_for_us"),
+        )
     )

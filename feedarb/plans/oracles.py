@@ -163,6 +163,11 @@ from evicted group by all""",
         "gate_opening": f"""with {feed()}, {gates(n)} select * from gates""",
         "observe_windows": f"with {OBSERVED} select * from windows",
         "window_wins": f"with {OBSERVED} select * from wins",
+        "win_runs": f"""with {OBSERVED},
+numbered as (select *, window_no - row_number() over (partition by {G}, source_id, wins = 0 order by window_no) as run
+  from wins)
+select {G}, source_id, min(window_no) as from_window, max(window_no) as to_window, wins from numbered
+group by {G}, source_id, wins, run, case when wins > 0 then window_no end""",
         "window_verdicts": f"""with {OBSERVED},
 told as ({verdict_select('wins', G + ', window_no', OBSERVE.minimum_events)})
 select *, coalesce(window_no <= min(case when slowest_source_id is not null then window_no end)

@@ -106,11 +106,14 @@ def window_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tally.window_wins(credit, sources, gates, OBSERVE)
 
 
+def win_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tally.win_runs(*_observed(spark, sf_dir), OBSERVE)
+
+
 def window_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts as if nobody left; ``exact`` up to each group's first named source, from which
     on a live system goes without it."""
-    wins = window_wins(spark, sf_dir)
-    told = durable(tally.verdicts(wins, [*GROUP, "window_no"], OBSERVE.minimum_events), "verdicts")
+    told = durable(tally.verdicts_by_runs(*_observed(spark, sf_dir), OBSERVE), "verdicts")
     first = told.where(F.col("slowest_source_id").isNotNull()).groupBy(*GROUP).agg(
         F.min("window_no").alias("_first_named")
     )
@@ -485,6 +488,7 @@ def queries() -> dict[str, Report]:
         "gate_opening": gate_opening,
         "observe_windows": observe_windows,
         "window_wins": window_wins,
+        "win_runs": win_runs,
         "window_verdicts": window_verdicts,
         "running_tallies": running_tallies,
         "tumbling_leaderboard": tumbling_leaderboard,
