@@ -1,11 +1,12 @@
 """Shards of nearly equal bytes by best-fit-decreasing bin packing.
 
 Documents of equal text form an indivisible group.  Groups sorted by size enter the fullest
-shard that still has room, found in a balanced tree of remaining capacities.  So that the
-packing stays small for any input, only groups of more than ``1 / (shards * FINE)`` of all
-bytes, ``shards * FINE`` at most, are packed by themselves; the others are first bundled by
-hash, ``shards * BUNDLES`` bundles at most, and bundles are packed like groups.  The driver
-sees these sizes only.  A group above an equal share gets a shard of its own.
+shard that still has room, found in a balanced tree of remaining capacities.  Groups of one
+size are alike, so packing takes (size, number of groups) and puts as many at once as fit: the
+shard that took the first is still the tightest for the next.  The driver sees one row per
+distinct size only; distinct sizes add up to no more than all bytes, so there are
+at most sqrt(2 * bytes) of them.  Groups of a size are numbered, by blocks where there are many,
+and a shard takes a run of numbers.  A group above an equal share gets a shard of its own.
 
 Null texts have size 8, are a group of their own, and their CRC is that of no bytes.
 Repeated rows are rows like others; an empty table gives no rows.
@@ -22,10 +23,10 @@ from pyspark.sql.window import Window
 
 from feedarb.plans.storage import durable
 
-FINE = 256
-BUNDLES = 128
-#: Rows that get their places in a shard together, about.
+#: Rows that get their places in a shard, and groups that get their numbers in a size, together, about.
 PLACE_ROWS = 10_000
+#: Texts with more than one in so many rows are labelled without a shuffle; there are no more of them than that.
+HEAVY_TEXTS = 4096
 
 
 class CapacityTree:
@@ -74,37 +75,64 @@ class CapacityTree:
         return high
 
 
-def best_fit_decreasing(sizes: Iterable[tuple[int, int]], capacity: int, most: int | None = None) -> dict[int, int] | None:
-    """Shard of each (size, item); None if that takes more than ``most`` shards."""
-    tree, opened, placed = CapacityTree(), 0, {}
-    for size, item in sorted(sizes, key=lambda x: (-x[0], x[1])):
-        found = tree.take(size)
-        if found is None:
-            if opened == most or size > capacity:
-                return None
-            found = (capacity, opened)
-            opened += 1
-        placed[item] = found[1]
-        tree.insert(found[0] - size, found[1])
-    return placed
-
-
-def pack(sizes: list[tuple[int, int]], shards: int) -> dict[int, int]:
-    """Shard of each (size, item) for a fixed number of shards, at the least capacity found."""
-    items = sorted(sizes, key=lambda x: (-x[0], x[1]))
-    placed: dict[int, int] = {}
-    total = sum(size for size, _ in items)
-    while items and len(placed) < shards - 1 and items[0][0] * (shards - len(placed)) > total:
-        size, item = items.pop(0)
-        placed[item] = len(placed)
+def best_fit_decreasing(
+    classes: Iterable[tuple[int, int]], capacity: int, most: int | None = None
+) -> list[tuple[int, int, int]] | None:
+    """(size, shard, number of groups) for classes (size, number of groups), in the order they are placed.
+
+    None if that takes more than ``most`` shards.
+    """
+    tree, opened, dealt = CapacityTree(), 0, []
+    for size, count in sorted(classes, reverse=True):
+        while count:
+            found = tree.take(size)
+            if found is None:
+                if opened == most or size > capacity:
+                    return None
+                found = (capacity, opened)
+                opened += 1
+            taken = min(count, found[0] // size)
+            dealt.append((size, found[1], taken))
+            tree.insert(found[0] - taken * size, found[1])
+            count -= taken
+    return dealt
+
+
+def pack(classes: Iterable[tuple[int, int]], shards: int) -> list[tuple[int, int, int]]:
+    """(size, shard, number of groups) for a fixed number of shards, at the least capacity found."""
+    left = sorted(classes)
+    total = sum(size * count for size, count in left)
+    alone: list[tuple[int, int, int]] = []
+    while left and len(alone) < shards - 1 and left[-1][0] * (shards - len(alone)) > total:
+        size, count = left.pop()
+        alone.append((size, len(alone), 1))
         total -= size
-    alone = len(placed)
-    bins = shards - alone
-    least = max(-(-total // bins), items[0][0] if items else 0)
+        if count > 1:
+            left.append((size, count - 1))
+    bins = shards - len(alone)
+    least = max(-(-total // bins), left[-1][0] if left else 0)
     step = 0
-    while (found := best_fit_decreasing(items, least + (least * step >> 14), bins)) is None:
+    while (dealt := best_fit_decreasing(left, least + (least * step >> 14), bins)) is None:
         step = 2 * step + 1
-    return placed | {item: alone + shard for item, shard in found.items()}
+    return alone + [(size, len(alone) + shard, count) for size, shard, count in dealt]
+
+
+def _numbered(groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """Adds ``number`` from 0 among the groups of a size."""
+    many = classes.where(F.col("groups") > PLACE_ROWS)
+    many = many.select("size", F.ceil(F.col("groups") / PLACE_ROWS).alias("blocks"))
+    placed = groups.join(many, "size", "left")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("text_hash"), F.coalesce("blocks", F.lit(1).cast("long")))).drop("blocks")
+    before = Window.partitionBy("size").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("size", "block").count()
+    starts = starts.select("size", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    inner = F.row_number().over(Window.partitionBy("size", "block").orderBy("text_hash"))
+    return (
+        placed.withColumn("inner", inner)
+        .join(starts, ["size", "block"])
+        .withColumn("number", F.col("start") + F.col("inner") - 1)
+        .drop("block", "inner", "start")
+    )
 
 
 def sharded(docs: DataFrame, shards: int) -> DataFrame:
@@ -120,19 +148,32 @@ def sharded(docs: DataFrame, shards: int) -> DataFrame:
         ),
         "texts",
     )
-    count, total = rows.agg(F.count("*"), F.sum("size")).first()
-    large = rows.groupBy("text_hash").agg(F.sum("size").alias("size")).where(F.col("size") * shards * FINE > (total or 0))
-    large = durable(large, "large")
-    bundle = F.pmod(F.xxhash64("text_hash"), F.lit(shards * BUNDLES))
-    # Bundles are numbered from 0, large groups below 0.
-    named = large.select("text_hash", (-1 - F.row_number().over(Window.orderBy("text_hash"))).cast("long").alias("own"))
-    named = durable(named, "named")
-    rows = rows.join(F.broadcast(named), "text_hash", "left").withColumn("item", F.coalesce("own", bundle)).drop("own")
-    sizes = [tuple(r) for r in rows.groupBy("item").agg(F.sum("size")).select("sum(size)", "item").collect()]
-    placed = spark.createDataFrame(sorted(pack(sizes, shards).items()), "item long, shard int")
-    rows = rows.join(F.broadcast(placed), "item")
-
-    blocks = max(1, (count or 0) // (shards * PLACE_ROWS))
+    count = rows.count()
+    groups = durable(rows.groupBy("text_hash").agg(F.sum("size").alias("size"), F.count("*").alias("copies")), "groups")
+    classes = durable(groups.groupBy("size").agg(F.count("*").alias("groups")), "sizes")
+    runs, following = [], {}
+    for size, shard, number in pack([tuple(r) for r in classes.select("size", "groups").collect()], shards):
+        first = following.get(size, 0)
+        following[size] = first + number
+        runs.append((size, first, first + number, shard))
+    dealt = spark.createDataFrame(runs, "size long, first long, end long, shard int")
+    labels = durable(
+        _numbered(groups, classes)
+        .join(dealt, "size")
+        .where("number >= first and number < end")
+        .select("text_hash", "copies", "shard"),
+        "labels",
+    )
+    heavy = F.col("copies") * HEAVY_TEXTS > count
+    few = labels.where(heavy).select("text_hash", F.col("shard").alias("own"))
+    marked = rows.join(F.broadcast(few), "text_hash", "left")
+    rows = (
+        marked.where("own is not null")
+        .withColumnRenamed("own", "shard")
+        .unionByName(marked.where("own is null").drop("own").join(labels.where(~heavy).drop("copies"), "text_hash"))
+    )
+
+    blocks = max(1, count // (shards * PLACE_ROWS))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(blocks)).cast("int"))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.groupBy("shard", "block").count()
