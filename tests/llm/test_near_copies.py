@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from feedarb.llm import near_copies, simhash
@@ -38,11 +39,14 @@ def some_texts(draw):
     return texts
 
 
-def test_shingles_and_similarity():
+def test_shingles_and_similarity(spark):
     for text in (None, "", "One", "a b c d", "a b c d e", "A b c d e f a b c d e"):
         assert len(near_copies.shingles(text)) == len(plain_shingles(text))
-    few, more = near_copies.shingles("a b c d e f"), near_copies.shingles("a b c d e f g")
-    assert near_copies.similarity(few, more) == 2 / 3 and near_copies.similarity(few[:0], few[:0]) == 1
+    texts = [(1, "a b c d e f"), (2, "a b c d e f g"), (3, "x"), (4, "")]
+    sets = near_copies._hashed(spark.createDataFrame(texts, "node long, text string"))
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4)], "a long, b long")
+    for least, want in ((2 / 3, [(1, 2)]), (0.67, [])):
+        assert [tuple(r) for r in near_copies._similar(pairs, sets, least).collect()] == want
 
 
 def test_groups_against_all_pairs(spark):
@@ -75,3 +79,35 @@ def test_second_pass_joins_what_the_first_left(spark):
     found = near_copies.near_copies(documents(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()
     assert {r.doc_id: r.component_id for r in found} == plain_components(range(len(texts)), pairs)
     assert np.array_equal(near_copies.keys(near_copies.shingles(texts[0])), near_copies.keys(near_copies.shingles(texts[0])))
+
+
+def from_template(draw, count, common=200, own=70):
+    """Texts that share a passage and have words of their own behind it."""
+    passage = [f"w{draw.randrange(5_000)}" for _ in range(common)]
+    return [" ".join(passage + [f"o{draw.randrange(10**9)}" for _ in range(own)]) for _ in range(count)]
+
+
+@pytest.mark.parametrize(("few", "most"), [(0, 3), (0, 10**6), (4, 5), (10**6, 7)])
+def test_all_ways_of_finding_pairs_give_the_same(spark, few, most):
+    draw = random.Random(11)
+    texts = some_texts(draw)[:80] + from_template(draw, 30) + from_template(draw, 30, own=30) + from_template(draw, 30, own=22)
+    base = from_template(draw, 1)[0].split()
+    texts += [" ".join(changed(draw, base, draw.randrange(9))) for _ in range(60)]
+    sets = [plain_shingles(t) for t in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if alike(sets[i], sets[j])]
+    want = plain_components(range(len(texts)), pairs)
+    found = near_copies.near_copies(documents(spark, [(i, t, "a") for i, t in enumerate(texts)]), few=few, most=most)
+    assert {r.doc_id: r.component_id for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("own", [40, 70])
+def test_texts_of_a_template_are_hardly_compared(spark, own):
+    """Similarity 0.71 and 0.58: one key holds all of them, and no pair is left to compare."""
+    texts = from_template(random.Random(12), 300, own=own)
+    known = spark.createDataFrame([(i, 1, i) for i in range(300)], "node long, key long, component long")
+    sets = near_copies._hashed(spark.createDataFrame(list(enumerate(texts)), "node long, text string"))
+    first = spark.createDataFrame([], "a long, b long")
+    assert near_copies.candidates(known, first, sets, 0.8).count() == 0
+    near = spark.createDataFrame([(i, texts[i] if i else texts[1] + " end") for i in range(300)], "node long, text string")
+    found = near_copies.candidates(known, first, near_copies._hashed(near), 0.8)
+    assert [tuple(r) for r in found.collect()] == [(0, 1)]
