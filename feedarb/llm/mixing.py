@@ -3,12 +3,15 @@
 Each source gets a share of words by its weight, at most ``most`` times what it has; what
 that leaves over goes to the other sources by weight until none is above.  A source first
 takes all its documents as often as whole copies fit its target.  The rest of the target is
-a sample without replacement: documents are ranked by u / (1 - u) over p / (1 - p), where u
-is a number that only the id decides and p the part still wanted, and the lowest ranks are
-taken while their words fit.  One more document then closes the gap as nearly as one can.
+a sample without replacement in which a document's part p grows with a power of its size, so
+that the parts' words add up to the rest.  Where p would be 1 or more the document is certain and
+comes once more; the others are ranked by u / (1 - u) over p / (1 - p), where u is a number
+that only the id decides, and the lowest ranks are taken while their words fit.  One more
+document then closes the gap as nearly as one can.
 
 Nothing is sorted as a whole: words are summed by source and slice of the rank's range, and
-only the slice where the target is reached is ordered, about 1 in 4,096 of a source.
+only the slice where the target is reached is ordered, about 1 in 4,096 of a source.  Parts are
+found from the different sizes of a source, at most the root of twice its words.
 Rows that share id, source and size are taken alike.  Documents without words are never
 taken; a null source is a source of its own, the last in order.
 """
@@ -26,6 +29,8 @@ from feedarb.plans.storage import durable
 
 WEIGHTS = (5, 2, 1)
 SLICES = 4096
+#: Power of a document's size that its part of the sample is in proportion to.
+BY_SIZE = 0.5
 
 
 def sources(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
@@ -82,21 +87,51 @@ def _per_word() -> Column:
     return F.try_divide(F.col("target"), F.col("source_size"))
 
 
-def _rank(seed: int) -> Column:
-    """Pareto rank: odds of the document's number over odds of the part wanted."""
+def parts(sizes: DataFrame, planned: DataFrame, by_size: float = BY_SIZE) -> DataFrame:
+    """Adds ``scale`` and ``certain`` to the plan of each source (``rest``: words still wanted).
+
+    A document's part is ``scale`` times its size to the power ``by_size``; documents of more words
+    than ``certain`` come for sure, ``rest`` is without them.  Going down from the largest size, a
+    size is left to chance when its part of what the larger ones leave is below 1.
+    """
+    size = F.col("size").cast("double")
+    classes = with_source(sizes.where("size > 0").groupBy("source", "size").count(), planned.where("rest > 0"))
+    down = Window.partitionBy("source").orderBy(F.desc("size"))
+    above = F.sum(F.col("size") * F.col("count")).over(down.rowsBetween(Window.unboundedPreceding, -1))
+    up = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    mass = F.sum(F.col("count") * F.pow(size, F.lit(1 + by_size))).over(up)
+    left = F.col("rest") - F.coalesce(above, F.lit(0))
+    chance = (
+        classes.select("source", "size", left.alias("left"), (left / mass).alias("scale"))
+        .where(F.col("scale") * F.pow(size, F.lit(by_size)) < 1)
+        .groupBy("source")
+        .agg(F.max(F.struct("size", "left", "scale")).alias("most"))
+    )
+    found = with_source(planned, durable(chance, "parts"), "left")
+    return found.select(
+        *(c for c in planned.columns if c != "rest"),
+        F.coalesce("most.left", F.lit(0.0)).alias("rest"),
+        F.col("most.scale").alias("scale"),
+        F.col("most.size").alias("certain"),
+    )
+
+
+def _rank(seed: int, by_size: float) -> Column:
+    """Pareto rank: odds of the document's number over odds of its part; null for those not left to chance."""
     u = unit(F.col("doc_id"), seed=seed)
-    p = _per_word() - F.col("whole")
-    return F.when((p > 0) & (F.col("size") > 0), (u / (1 - u)) / (p / (1 - p)))
+    p = F.col("scale") * F.pow(F.col("size").cast("double"), F.lit(by_size))
+    return F.when((F.col("size") > 0) & (F.col("size") <= F.col("certain")), (u / (1 - u)) / (p / (1 - p)))
 
 
-def rules(sizes: DataFrame, planned: DataFrame, seed: int = 0) -> DataFrame:
-    """Per source: whole copies, the last rank taken of the sample, and the document that closes it.
+def rules(sizes: DataFrame, planned: DataFrame, seed: int = 0, by_size: float = BY_SIZE) -> DataFrame:
+    """Per source: whole copies, parts, the last rank taken of the sample, and the document that closes it.
 
     ``sizes`` has doc_id, source and size and should be a written table.
     """
     planned = planned.withColumn("whole", _copies().cast("long"))
     planned = planned.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    ranked = with_source(sizes, planned).withColumn("rank", _rank(seed)).where("rank is not null")
+    planned = durable(parts(sizes, planned, by_size), "parts")
+    ranked = with_source(sizes, planned).withColumn("rank", _rank(seed, by_size)).where("rank is not null")
     ranked = ranked.withColumn("slice", F.floor(F.col("rank") / (1 + F.col("rank")) * SLICES))
     key = F.struct("rank", "doc_id", "size")
 
@@ -135,7 +170,7 @@ def rules(sizes: DataFrame, planned: DataFrame, seed: int = 0) -> DataFrame:
     )
     found = with_source(found, open_docs, "left").drop("sampled")
     return with_source(planned, found, "left").select(
-        "source", "source_size", "target", "whole", "last_slice", "last",
+        "source", "source_size", "target", "whole", "scale", "certain", "last_slice", "last",
         F.when(F.col("close").isNotNull(), F.struct("close.rank", "close.doc_id", "close.size")).alias("close"),
     )
 
@@ -146,19 +181,23 @@ def with_source(rows: DataFrame, by_source: DataFrame, how: str = "inner") -> Da
     return rows.join(other, rows["source"].eqNullSafe(other["own_source"]), how).drop("own_source")
 
 
-def mixed(docs: DataFrame, by_rules: DataFrame, seed: int = 0) -> DataFrame:
+def mixed(docs: DataFrame, by_rules: DataFrame, seed: int = 0, by_size: float = BY_SIZE) -> DataFrame:
     """Adds ``source_size``, ``target`` and ``copies`` (0, 1, 2) to rows with doc_id, source and size."""
-    ranked = with_source(docs, by_rules).withColumn("rank", _rank(seed))
+    ranked = with_source(docs, by_rules).withColumn("rank", _rank(seed, by_size))
     slice_ = F.floor(F.col("rank") / (1 + F.col("rank")) * SLICES)
     key = F.struct("rank", "doc_id", "size")
-    # A sample that never reaches its target within the ranks has no last slice.
     sampled = F.coalesce(
         (slice_ < F.col("last_slice")) | ((slice_ == F.col("last_slice")) & (key <= F.col("last"))) | (key == F.col("close")),
         F.lit(False),
     )
+    # A sample that never reaches its target within the ranks has no last slice.
     without_slice = F.col("last_slice").isNull() & F.col("rank").isNotNull()
-    copies = F.when(F.col("size") > 0, F.col("whole") + F.when(sampled | without_slice, 1).otherwise(0)).otherwise(0)
-    return ranked.withColumn("copies", copies.cast("long")).drop("rank", "whole", "last_slice", "last", "close")
+    certain = F.coalesce(F.col("size") > F.col("certain"), F.lit(False))
+    once_more = F.when(sampled | without_slice | certain, 1).otherwise(0)
+    copies = F.when(F.col("size") > 0, F.col("whole") + once_more).otherwise(0)
+    return ranked.withColumn("copies", copies.cast("long")).drop(
+        "rank", "whole", "scale", "certain", "last_slice", "last", "close"
+    )
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -166,7 +205,12 @@ def sized(docs: DataFrame) -> DataFrame:
 
 
 def mix(
-    sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 0
+    sizes: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    share: float = 1.5,
+    most: float = 2.0,
+    seed: int = 0,
+    by_size: float = BY_SIZE,
 ) -> DataFrame:
     """The rules that mix ``sizes`` (doc_id, source, size; a written table)."""
-    return durable(rules(sizes, sources(sizes, weights, share, most), seed), "rules")
+    return durable(rules(sizes, sources(sizes, weights, share, most), seed, by_size), "rules")
