@@ -148,4 +148,4 @@ def test_chances_grow_with_size(spark):
     taken = defaultdict(int)
     for r in mixed(docs):
         taken[r.size] += r.copies - 1
-    assert taken[90] / taken[10] == pytest.approx(1.6, abs=0.3)
+    assert taken[90] / taken[10] == pytest.approx((90 / 10) ** mixing.BY_SIZE, abs=0.3)
