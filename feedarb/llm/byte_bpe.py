@@ -26,20 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedarb.llm.shared import Memory, slices
+from feedarb.llm.shared import Memory, ShortMemory, only, slices
 
 #: Texts that are decoded at a time.
 DECODED_ROWS = 256
-#: Words that a worker remembers, at most twice as many, and bytes of a word that it does remember.
+#: Words with a blank before them that a worker remembers, at most twice as many.
 WORDS = 250_000
-WORD_CHARS = 32
-
-
-class ShortMemory(Memory):
-    """Remembers results of short words only, so its size is bounded in bytes."""
-
-    def keep(self, key, value):
-        return super().keep(key, value) if len(key) <= WORD_CHARS else value
 
 
 class BytePairCodec:
@@ -179,6 +171,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``doc_id`` and ``ids``, the token ids of ``text``."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(__name__)
         own = codec(ranks_path, pattern)
         for batch in batches:
             for part in slices(batch, "text"):
@@ -219,6 +212,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = Fal
     """
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(__name__)
         own = codec(ranks_path, pattern)
         for batch in batches:
             for part in slices(batch, "text"):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Iterator
 
 import pyarrow.compute as pc
@@ -15,6 +16,9 @@ BATCH = "4m"
 SLICE_BYTES = 4 << 20
 #: Results that a Memory holds, at most twice as many.
 MEMORY = 100_000
+#: Characters of a word that a ShortMemory does remember.
+WORD_CHARS = 32
+_memories: list[weakref.ref] = []
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -76,6 +80,7 @@ class Memory(dict):
     def __init__(self, function, most: int = MEMORY):
         super().__init__()
         self.function, self.most, self.older = function, most, {}
+        _memories.append(weakref.ref(self))
 
     def __missing__(self, key):
         value = self.older.get(key, self)
@@ -89,3 +94,22 @@ class Memory(dict):
             self.clear()
         self[key] = value
         return value
+
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
+
+class ShortMemory(Memory):
+    """Remembers results of short words only, so its size is bounded in bytes."""
+
+    def keep(self, key, value):
+        return super().keep(key, value) if len(key) <= WORD_CHARS else value
+
+
+def only(module: str) -> None:
+    """Empties what this worker remembers for other modules: workers go from operator to operator."""
+    _memories[:] = [m for m in _memories if m() is not None]
+    for memory in [m() for m in _memories]:
+        if memory is not None and memory.function.__module__ != module:
+            memory.forget()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedarb.llm.shared import Memory, unit
+from feedarb.llm.shared import ShortMemory, only, unit
 
 BUCKETS = 1 << 20
 #: Labelled documents of each kind that the model is fitted on, about.
@@ -34,7 +34,7 @@ ALPHA, BETA, L1, L2, PASSES = 2.0, 1.0, 3.0, 1.0, 6
 BLOCK = 1 << 20
 
 _words = re.compile(r"\w+").findall
-_hash = Memory(
+_hash = ShortMemory(
     lambda word: (zlib.crc32(word.encode()), *(zlib.crc32(f"{n}^{word[:n]}".encode()) for n in STEMS)),
     50_000,
 )
@@ -149,6 +149,7 @@ def scored(docs: DataFrame, weights: np.ndarray, text: str = "text") -> Column:
     sent = docs.sparkSession.sparkContext.broadcast((at.astype(np.int32), weights[at]))
     @F.arrow_udf("double")
     def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        only(__name__)
         places, values = sent.value
         own = np.zeros(BUCKETS + 1)
         own[places] = values
