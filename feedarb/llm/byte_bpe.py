@@ -208,27 +208,36 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 def digests(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """doc_id, token count and digests of the ids and of the bytes they decode to.
 
-    Each text is encoded, and its ids decoded, by one worker in one pass; decoded bytes stay there.
+    Each text is encoded, and its ids decoded, by one worker in one pass; decoded bytes stay there,
+    and so do the ids unless they are asked for.
     """
+    fields = {"doc_id": "long", "ids": "array<int>", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+    if not with_ids:
+        del fields["ids"]
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only(__name__)
         own = codec(ranks_path, pattern)
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [own.encode(text.as_py() or "") for text in part.column("text")]
-                sums = [hashlib.sha256(own.decode(memoryview(ids).cast("i").tolist())).hexdigest() for ids in found]
+                found, of_ids, of_bytes = [], [], []
+                for text in part.column("text"):
+                    ids = own.encode(text.as_py() or "")
+                    numbers = memoryview(ids).cast("i").tolist()
+                    of_ids.append(hashlib.sha256(",".join(map(str, numbers)).encode()).hexdigest())
+                    of_bytes.append(hashlib.sha256(own.decode(numbers)).hexdigest())
+                    found.append(ids)
                 ends = np.cumsum([0, *map(len, found)]) // 4
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), ids, pa.array(sums, pa.string())], ["doc_id", "ids", "decoded_sha256"]
-                )
+                columns = {
+                    "doc_id": part.column("doc_id"),
+                    "n_tokens": pa.array(np.diff(ends), pa.int64()),
+                    "ids_sha256": pa.array(of_ids, pa.string()),
+                    "decoded_sha256": pa.array(of_bytes, pa.string()),
+                }
+                if with_ids:
+                    values = pa.array(np.frombuffer(b"".join(found), np.int32))
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([columns[name] for name in fields], list(fields))
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(digested, "doc_id long, ids array<int>, decoded_sha256 string").select(
-        "doc_id",
-        *["ids"] * with_ids,
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        "decoded_sha256",
-    )
+    return rows.mapInArrow(digested, ", ".join(f"{name} {kind}" for name, kind in fields.items()))

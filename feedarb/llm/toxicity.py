@@ -103,6 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLE
     rows = rows.select(F.xxhash64(F.lit(7), "doc_id").alias("turn"), "text", "toxic")
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(__name__)
         for batch in batches:
             found = [np.unique(np.concatenate([*features(t.as_py()), [BUCKETS]])).astype("<i4").tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from feedarb.llm import byte_bpe
+from feedarb.llm import byte_bpe, shared
 from tests.llm.rows import AWKWARD, documents
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -77,6 +77,6 @@ def test_decoding_and_memories_of_bounded_size(spark):
     codec = byte_bpe.codec(RANKS, public_tokenizers.PATTERN)
     text = "x" * 5_000 + " short " + "é漢" * 900
     assert codec.decode(ids(text)) == text.encode()
-    assert max(map(len, [*codec._words, *codec._inner, *codec._pieces])) <= byte_bpe.WORD_CHARS
+    assert max(map(len, [*codec._words, *codec._inner, *codec._pieces])) <= shared.WORD_CHARS
     rows = byte_bpe.decode(byte_bpe.encode(documents(spark, AWKWARD), RANKS, public_tokenizers.PATTERN), RANKS).collect()
     assert sorted(bytes(r.decoded) for r in rows) == sorted((t or "").encode() for _, t, _ in AWKWARD)
