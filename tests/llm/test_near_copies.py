@@ -111,3 +111,28 @@ def test_texts_of_a_template_are_hardly_compared(spark, own):
     near = spark.createDataFrame([(i, texts[i] if i else texts[1] + " end") for i in range(300)], "node long, text string")
     found = near_copies.candidates(known, first, near_copies._hashed(near), 0.8)
     assert [tuple(r) for r in found.collect()] == [(0, 1)]
+
+
+def repeated(draw, count):
+    """Pairs of a text and the same with words behind it: nearly the same shingles by number, not as sets."""
+    found = []
+    for _ in range(count):
+        text = " ".join(f"w{draw.randrange(5_000)}" for _ in range(11))
+        found += [" ".join([text] * 60), " ".join([text] * 60 + [f"x{draw.randrange(10**9)}" for _ in range(5)])]
+    return found
+
+
+def test_stage_joins_by_fingerprint_and_by_similarity(spark):
+    draw = random.Random(13)
+    texts = [*repeated(draw, 12), *some_texts(draw)]
+    texts += [f"{texts[0]} {texts[0]} end", "one two three"]
+    sets, prints = [plain_shingles(t) for t in texts], [simhash.fingerprint(t) for t in texts]
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2]
+    similar = [(i, j) for i in range(len(texts)) for j in range(i) if alike(sets[i], sets[j])]
+    assert set(near) - set(similar) and set(similar) - set(near)
+    docs = documents(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    want = plain_components(range(len(texts)), near + similar)
+    found = near_copies.near_copies(docs, distance=2).collect()
+    assert {r.doc_id: r.component_id for r in found} == want
+    kept = corpus_pipeline.without_near_duplicates(spark, docs, SF).collect()
+    assert {r.doc_id for r in kept} == set(want.values())
