@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from feedarb.functions.timing import int_div
 
-BLOCK_WIDTH = 1 << 20
+#: Offsets of a block: few enough that a task sorts several blocks, and that a group has many.
+BLOCK_WIDTH = 1 << 17
 
 
 def _blocked(df: DataFrame, order: str, width: int) -> DataFrame:

@@ -11,9 +11,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Shuffled bytes that a task takes.  Rows of a feed are shuffled in some 20 bytes each, compressed,
+#: and take several hundred in a hash table or a sort.
+TASK_BYTES = "8m"
+
 _local_roots: dict[str, str] = {}
 
 
+def bounded_tasks(spark: SparkSession) -> None:
+    """Tasks of ``TASK_BYTES`` after a shuffle, unless the session has a size of its own."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if spark.conf.get(key).removesuffix("b") == str(64 << 20):  # as it is if nobody sets it
+        spark.conf.set(key, TASK_BYTES)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder for this application's tables, below ``spark.checkpoint.dir``.
 

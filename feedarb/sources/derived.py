@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedarb.plans.storage import read_table
+from feedarb.plans.storage import bounded_tasks, read_table
 from feedarb.sources.landing import landed_path
 
 # Fixed values of the derived fleet, in microseconds since the epoch.
@@ -46,6 +46,7 @@ _landed: dict[tuple, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_tasks(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -104,6 +105,7 @@ def copies(spark: SparkSession, sf_dir: str, redelivery: bool = True) -> DataFra
 
     Landed once per application and state of the input, as a feed is, and read from then on.
     """
+    bounded_tasks(spark)
     key = (spark.sparkContext.applicationId, input_state(spark, sf_dir, "events"), redelivery)
     if key not in _landed:
         _landed[key] = landed_path(delivered_copies(spark, sf_dir, redelivery), ARRIVAL_ORDER)
@@ -288,6 +290,7 @@ _logs: dict[tuple, str] = {}
 
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log message per event, good and bad, in order of time per partition."""
+    bounded_tasks(spark)
     key = (spark.sparkContext.applicationId, input_state(spark, sf_dir, "events"))
     if key not in _logs:
         messages = (

@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedarb.plans.ordered import next_marked, nth_next, running_number, running_sum
+from feedarb.plans.storage import TASK_BYTES
+from feedarb.sources import derived
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +62,22 @@ def test_next_marked(spark, rows, width):
             assert near is None
         else:
             assert (near.o, near.v) == (later.min(), values[(g, later.min())])
+
+
+def test_a_large_group_is_dealt_to_several_tasks(spark):
+    """Blocks are of BLOCK_WIDTH offsets, whatever the group has."""
+    rows = spark.range(600_000).select(F.lit("g").alias("g"), F.col("id").alias("o"))
+    found = running_number(rows, ["g"], "o", "n").groupBy(F.spark_partition_id()).agg(F.count("*"), F.min(F.col("n") == F.col("o") + 1))
+    counts = [tuple(r)[1:] for r in found.collect()]
+    assert all(right for _, right in counts)
+    assert sum(n for n, _ in counts) == 600_000 and max(n for n, _ in counts) < 600_000
+
+
+def test_tasks_are_bounded_unless_the_session_says_otherwise(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    other = spark.newSession()
+    derived.table(other, "/root/testdata/sf0.001", "events")
+    assert other.conf.get(key) == TASK_BYTES
+    other.conf.set(key, "5m")
+    derived.table(other, "/root/testdata/sf0.001", "events")
+    assert other.conf.get(key) == "5m"
