@@ -11,9 +11,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Shuffled bytes that a task takes.  Rows of a feed are shuffled in some 20 bytes each, compressed,
+#: Shuffled bytes that a task takes.  Rows of a feed are shuffled in some 15 bytes each, compressed,
 #: and take several hundred in a hash table or a sort.
-TASK_BYTES = "8m"
+TASK_BYTES = "4m"
 
 _local_roots: dict[str, str] = {}
 
