@@ -12,8 +12,9 @@ def header_value(headers: Column, name: str) -> Column:
 
 
 def header_bytes(headers: Column, name: str) -> Column:
-    matching = F.filter(headers, lambda h: h["key"] == F.lit(name))
-    return F.get(matching, F.lit(0))["value"]
+    # By position, as plain array functions: a filter with a lambda is interpreted row by row.
+    place = F.array_position(headers["key"], name).cast("int")
+    return F.get(headers["value"], place - 1)
 
 
 def text_of(value: Column) -> Column:

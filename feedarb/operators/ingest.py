@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedarb.functions.headers import header_bytes, header_value, is_broken_text, text_of
+from feedarb.functions.headers import header_bytes, is_broken_text, text_of
 from feedarb.functions.json import is_json_object, normalised
 from feedarb.functions.keys import message_key
 from feedarb.sources.catalogue import with_catalogue
@@ -19,23 +19,34 @@ def validate_raw(raw: DataFrame) -> DataFrame:
     UTF-8 where text is needed give ``bad_encoding``.
     """
     names = ("stream_type", "symbol", "source_id")
-    read = raw.withColumns(
+    found = {f"_{name}": header_bytes(F.col("headers"), name) for name in names}
+    read = _evaluated_once(_evaluated_once(raw, {"headers": F.col("headers")}), found).withColumns(
         {
-            **{name: header_value(F.col("headers"), name) for name in names},
+            **{name: F.nullif(text_of(F.col(f"_{name}")), F.lit("")) for name in names},
             "msg_key": F.nullif(text_of(F.col("key")), F.lit("")),
         }
     )
     absent = broken = F.lit(False)
     for name in names:
         absent = absent | F.col(name).isNull()
-        broken = broken | is_broken_text(header_bytes(F.col("headers"), name))
+        broken = broken | is_broken_text(F.col(f"_{name}"))
     return read.withColumn(
         "drop_reason",
         F.when(broken, "bad_encoding")
         .when(absent, "missing_header")
         .when(is_broken_text(F.col("key")), "bad_encoding")
         .when(F.col("msg_key").isNull(), "missing_key"),
-    )
+    ).drop(*found)
+
+
+def _evaluated_once(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Set columns that are worked out once a row, in however many places they are used.
+
+    A plain projection is copied into every filter above it and into each use there; what a
+    generator gives is not.
+    """
+    made = F.inline(F.array(F.struct(*(column.alias(name) for name, column in columns.items()))))
+    return rows.select(*(name for name in rows.columns if name not in columns), made)
 
 
 def normalised_copies(raw: DataFrame) -> DataFrame:

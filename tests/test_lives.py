@@ -99,3 +99,39 @@ def test_hot_event_and_empty_feed(spark):
     none = lives.lives(copies.where(F.lit(False)), params)
     assert none.copies.count() == none.pending.count() == 0
     assert lives.pending_entries(copies, none).select(*GROUP, "pending").collect()[0].pending == 0
+
+
+def test_entries_see_many_copies_in_one_call_as_one_by_one():
+    for seed, lag, expected in ((1, 3, 2), (2, 12, 5), (3, 1, 1), (4, 40, 3)):
+        feed = random_feed(seed, 200, 5, 0.3)
+        offsets, times, keys, sources = (list(column) for column in zip(*feed))
+        together = lives.LiveEntries(expected, lag)
+        forwarded, places, left = together.see(keys, sources, offsets, times)
+        apart = lives.LiveEntries(expected, lag)
+        steps = [apart.see([k], [s], [o], [u]) for o, u, k, s in feed]
+        assert forwarded == [step[0][0] for step in steps]
+        assert places == [n for n, step in enumerate(steps) if step[1]]
+        assert left == [gone for step in steps for gone in step[2]]
+        assert together.told() == apart.told() == lives.LiveEntries(expected, lag, apart.told()).told()
+        run = simulate(feed, ArbitrationParams(expected_sources=expected, lag=lag), lag, removal=False)
+        assert [o for o, new in zip(offsets, forwarded) if new] == run.forwarded
+
+
+def test_blocks_that_take_turns_are_told_apart():
+    import pyarrow as pa
+
+    rows = [("t", "a", 0, 1), ("t", "b", 0, 1), ("d", "a", 0, 2), ("t", "a", 0, 3), ("t", "a", 1, 4), ("t", "b", 0, 5)]
+    names = ["stream_type", "symbol", "block", "seq_offset"]
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in rows])
+    got = {block: part.column("seq_offset").to_pylist() for block, part in lives._by_block(batch)}
+    assert got == {("t", "a", 0): [1, 3], ("t", "b", 0): [1, 5], ("d", "a", 0): [2], ("t", "a", 1): [4]}
+
+
+def test_headers_of_a_message_are_read_once(spark):
+    """Plain projections were copied into the filter and into each use of a name."""
+    from feedarb.operators import ingest
+    from feedarb.sources import derived
+
+    good = ingest.validate_raw(derived.raw_copies(spark, "/root/testdata/sf0.001")).where("drop_reason is null")
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lambdafunction(") == 1
