@@ -14,15 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 #: Shuffled bytes that a task takes.  Rows of a feed are shuffled in some 15 bytes each, compressed,
 #: and take several hundred in a hash table or a sort.
 TASK_BYTES = "4m"
+#: Bytes of a table's files that a task reads, and of a row group in tables written here: a
+#: landed copy takes some 25 of them, and several hundred in a sort.
+READ_BYTES = 8 << 20
 
 _local_roots: dict[str, str] = {}
 
 
 def bounded_tasks(spark: SparkSession) -> None:
-    """Tasks of ``TASK_BYTES`` after a shuffle, unless the session has a size of its own."""
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    if spark.conf.get(key).removesuffix("b") == str(64 << 20):  # as it is if nobody sets it
-        spark.conf.set(key, TASK_BYTES)
+    """Tasks of ``TASK_BYTES`` after a shuffle and ``READ_BYTES`` of files, unless the session has sizes of its own."""
+    for key, usual, size in (
+        ("spark.sql.adaptive.advisoryPartitionSizeInBytes", 64 << 20, TASK_BYTES),
+        ("spark.sql.files.maxPartitionBytes", 128 << 20, str(READ_BYTES)),
+    ):
+        # As it is if nobody sets it.
+        if spark.conf.get(key).lower() in (str(usual), f"{usual}b", f"{usual >> 20}mb"):
+            spark.conf.set(key, size)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -57,7 +64,7 @@ def durable(df: DataFrame, label: str) -> DataFrame:
 
 def write_table(df: DataFrame, label: str) -> str:
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", READ_BYTES).parquet(path)
     return path
 
 

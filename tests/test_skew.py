@@ -76,3 +76,22 @@ def test_landing_with_one_instant(spark):
     landed = land_with_offsets(df.orderBy(F.rand(1)), ("arr_us", "event_id"))
     got = {(r.symbol, r.event_id): r.seq_offset for r in landed.collect()}
     assert got == {**{("all", i): i for i in range(500)}, ("b", 3): 0}
+
+
+def test_tasks_read_bounded_parts_of_landed_tables(spark):
+    """A task sorted as many rows as 128 MB of files hold."""
+    from feedarb.plans import storage
+
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.unset(key)
+    try:
+        storage.bounded_tasks(spark)
+        rows = storage.durable(spark.range(0, 6_000_000, 1, 1).selectExpr("id * 7919 % 6000011 as a", "xxhash64(id) as b"), "wide")
+        own = rows.selectExpr("spark_partition_id() as p").groupBy("p").count().collect()
+        assert len(own) >= 4 and max(r["count"] for r in own) < 2_000_000
+        spark.conf.set(key, "32m")
+        storage.bounded_tasks(spark)
+        assert spark.conf.get(key) == "32m"
+    finally:
+        spark.conf.set(key, before)
