@@ -142,16 +142,19 @@ def first_copy_after(feed: DataFrame, points: DataFrame) -> DataFrame:
     Copies are combined per time slot, and only slots that hold a point are looked into.
     """
     slot = int_div(F.col("arr_us"), SLOT_US).alias("_slot")
-    copy = F.struct("seq_offset", "arr_us")
+    # Offsets and times apart: an aggregate of two numbers needs no sort.
+    copy = [F.min("seq_offset").alias("_o"), F.min_by("arr_us", "seq_offset").alias("_us")]
+    pair = F.struct(F.col("_o").alias("seq_offset"), F.col("_us").alias("arr_us"))
     asked = durable(points.select(*GROUP, "at_us", int_div(F.col("at_us"), SLOT_US).alias("_slot")).distinct(), "points")
     placed = feed.select(*GROUP, "seq_offset", "arr_us", slot)
     near = (
         placed.join(asked, [*GROUP, "_slot"])
         .where(F.col("arr_us") >= F.col("at_us"))
         .groupBy(*GROUP, "at_us")
-        .agg(F.min(copy).alias("_near"))
+        .agg(*copy)
+        .select(*GROUP, "at_us", pair.alias("_near"))
     )
-    firsts = placed.groupBy(*GROUP, "_slot").agg(F.min(copy).alias("_copy"))
+    firsts = placed.groupBy(*GROUP, "_slot").agg(*copy).select(*GROUP, "_slot", pair.alias("_copy"))
     none = F.lit(None).cast("struct<seq_offset: bigint, arr_us: bigint>")
     run = durable(
         firsts.unionByName(asked.select(*GROUP, "_slot").distinct().withColumn("_copy", none))

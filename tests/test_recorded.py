@@ -74,3 +74,22 @@ def test_next_copy_of_many_points_equals_a_plain_search(spark):
         at = bisect.bisect_left(times, us)
         assert got["x", us] == ((at, times[at]) if at < len(times) else (None, None))
         assert got["y", us] == (None, None)
+
+
+def test_first_copies_are_found_without_a_sort(spark):
+    from feedarb.operators.windows import first_copy_after
+    from feedarb.plans import storage
+
+    made = []
+    real = storage.durable
+    copies = spark.createDataFrame([("t", "a", 1, 5)], "stream_type string, symbol string, seq_offset long, arr_us long")
+    from feedarb.operators import windows
+
+    windows.durable = lambda df, label: (made.append(df), real(df, label))[1]
+    try:
+        found = first_copy_after(copies, copies.selectExpr("stream_type", "symbol", "arr_us as at_us"))
+    finally:
+        windows.durable = real
+    assert [(r.next_offset, r.next_us) for r in found.collect()] == [(1, 5)]
+    near = found._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min(struct" not in near + "".join(df._jdf.queryExecution().executedPlan().toString() for df in made)
