@@ -119,12 +119,21 @@ def _heads(seq: np.ndarray, turn: int) -> np.ndarray:
     return _equal(seq)
 
 
+def _frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """What comes ``least`` times or more, in order, with counts; the rest is not made a list of."""
+    ranked = np.sort(pairs)
+    far = ranked[least - 1 :]
+    found = far[far == ranked[: len(far)]]
+    if len(found):
+        found = found[np.concatenate([[True], found[1:] != found[:-1]])]
+    return found, np.searchsorted(ranked, found, "right") - np.searchsorted(ranked, found)
+
+
 def _last_heads(seq: np.ndarray, least: int, shift: int) -> np.ndarray | None:
     """As :func:`_heads`, with the most frequent pairs first; None if no pair comes ``least`` times."""
     kind = seq.dtype.type
-    found, counts = np.unique(seq[:-1] << kind(shift) | seq[1:], return_counts=True)
-    often = np.flatnonzero(counts >= least)
-    found = found[often[np.argsort(-counts[often], kind="stable")]]
+    found, counts = _frequent(seq[:-1] << kind(shift) | seq[1:], least)
+    found = found[np.argsort(-counts, kind="stable")]
     left, right = (found >> kind(shift)).tolist(), (found & kind((1 << shift) - 1)).tolist()
     twice = _equal(seq)
     runs, counts = np.unique(seq[twice], return_counts=True)
@@ -166,9 +175,7 @@ def compress(ids: np.ndarray, base: int, least: int = 8, most_rules: int | None
         if heads is None:
             break
         pairs = seq[heads] << kind(shift) | seq[heads + 1]
-        found, counts = np.unique(pairs, return_counts=True)
-        often = counts >= count
-        chosen, counts = found[often], counts[often]
+        chosen, counts = _frequent(pairs, count)
         if len(chosen) > most_rules - made:
             chosen = np.sort(chosen[np.argsort(-counts, kind="stable")[: most_rules - made]])
         if len(chosen):
@@ -220,6 +227,8 @@ class WordEncoder:
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
             ]
         )
+        self._ascii = Tokenizer(self.tokenizer.model)
+        self._ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self._known = Memory(self._one, WORDS)
 
     def _one(self, word: str) -> bytes:
@@ -231,17 +240,23 @@ class WordEncoder:
     def learn(self, words: set[str]) -> None:
         """Remembers the plain words among those not known yet."""
         known = self._known
-        cores = {w.rstrip(string.punctuation) for w in words if w not in known}
-        fresh = [w for w in cores if w and w not in known and w not in known.older and _plain(w)]
-        for at in range(0, len(fresh), 4096):
-            some = fresh[at : at + 4096]
-            text = " ".join(some).lower()
-            ids = np.array(self._bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            ends = (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()
-            if len(ends) == len(some):
-                data = ids.tobytes()
-                for word, start, end in zip(some, [0, *ends], ends):
-                    known.keep(word, data[start:end])
+        cores = {w: w.rstrip(string.punctuation) for w in words if w not in known and w not in known.older}
+        fresh = [w for w in set(cores.values()) if w and w not in known and w not in known.older and _plain(w)]
+        # Bytes of ASCII letters stand for themselves.
+        ascii_only = [w for w in fresh if w.isascii()]
+        for some_of, tokenizer in ((ascii_only, self._ascii), ([w for w in fresh if not w.isascii()], self._bare)):
+            for at in range(0, len(some_of), 4096):
+                some = some_of[at : at + 4096]
+                text = " ".join(some).lower()
+                ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                ends = (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()
+                if len(ends) == len(some):
+                    data = ids.tobytes()
+                    for word, start, end in zip(some, [0, *ends], ends):
+                        known.keep(word, data[start:end])
+        for word, core in cores.items():
+            if core != word and core in known and _plain(core):
+                known.keep(word, known[core] + known[word[len(core) :]])
 
     def encode(self, words: list[str]) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

@@ -96,3 +96,13 @@ def test_grammar_ends_when_no_pair_is_frequent(size, base):
     grammar = token_files.compress(ids, base)
     assert grammar.decode() == ids.astype("<u4").tobytes()
     assert pairs_left(grammar.symbols.tolist()) < 8 or len(grammar.rules) == (1 << 16) - (base if base < 60_000 else 0)
+
+
+def test_frequent_pairs_as_counted():
+    draw = np.random.default_rng(4)
+    for size, least in ((0, 1), (5, 8), (3_000, 1), (3_000, 8), (3_000, 40), (8, 8)):
+        pairs = (60 * draw.random(size) ** 2).astype("u4")
+        found, counts = np.unique(pairs, return_counts=True)
+        got, times = token_files._frequent(pairs, least)
+        assert got.tolist() == found[counts >= least].tolist()
+        assert times.tolist() == counts[counts >= least].tolist()
