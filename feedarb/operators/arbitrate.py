@@ -21,6 +21,8 @@ from feedarb.sources.landing import GROUP
 
 # The key first: it tells rows apart early wherever they are sorted.
 KEY = ("msg_key", *GROUP)
+#: Parts in which events are counted, to find those with very many copies.
+KEY_BUCKETS = 1 << 14
 
 
 def first_copies(copies: DataFrame, carry: Sequence[str] = ("source_id", "arr_us")) -> DataFrame:
@@ -125,8 +127,47 @@ def copies_per_event(copies: DataFrame) -> DataFrame:
     )
 
 
-def event_records(copies: DataFrame, expected_sources: int) -> DataFrame:
-    """One row per event: winner and the first offsets of its earliest sources.
+def _first_of_sources(arrived: Column, most: int) -> Column:
+    """The first copy of each of the first ``most`` sources, of copies in order of arrival."""
+    sources = F.array_distinct(F.transform(arrived, lambda copy: copy["source_id"]))
+    found = F.transform(
+        F.slice(sources, 1, most),
+        lambda source: F.get(F.filter(arrived, lambda copy: copy["source_id"].eqNullSafe(source)), F.lit(0)),
+    )
+    return F.when(F.size(sources) == F.size(arrived), F.slice(arrived, 1, most)).otherwise(found)
+
+
+def _gathered_records(copies: DataFrame, expected_sources: int) -> DataFrame:
+    """``event_records`` from all copies of an event at once.
+
+    Copies of an event arrive near each other, so most meet before the shuffle.
+    """
+    copy = F.struct("seq_offset", "arr_us", "source_id")
+    first = F.col("_firsts")[0]
+    return (
+        copies.groupBy(*KEY)
+        .agg(F.sort_array(F.collect_list(copy)).alias("_copies"))
+        .select(
+            *KEY,
+            _first_of_sources(F.col("_copies"), expected_sources).alias("_firsts"),
+            F.element_at("_copies", -1)["seq_offset"].alias("last_o"),
+        )
+        .select(
+            *KEY,
+            first["source_id"].alias("winner"),
+            first["seq_offset"].alias("first_offset"),
+            first["arr_us"].alias("first_us"),
+            F.array(
+                *(F.get(F.col("_firsts")["seq_offset"], F.lit(i)) for i in range(expected_sources))
+            ).alias("early"),
+            F.get(F.col("_firsts")["arr_us"], F.lit(expected_sources - 1)).alias("complete_us"),
+            "last_o",
+        )
+    )
+
+
+def _spread_records(copies: DataFrame, expected_sources: int) -> DataFrame:
+    """``event_records`` of events with any number of copies.
 
     Only a source not yet counted moves an event towards completion, so repeats
     collapse to (first, last) offset per source before sources are put in order.
@@ -161,6 +202,25 @@ def event_records(copies: DataFrame, expected_sources: int) -> DataFrame:
     )
 
 
+def event_records(
+    copies: DataFrame, expected_sources: int, hot_copies: int = BLOCK_WIDTH
+) -> DataFrame:
+    """One row per event: winner and the first offsets of its earliest sources.
+
+    ``last_o`` is after every offset at which the event can leave the cache if any copy is.
+    Events are counted by buckets of their keys' hashes.  Where a bucket has over ``hot_copies`` copies,
+    one of its events may have too many for one row, and sources are put in order in small steps;
+    the copies of all others are gathered.
+    """
+    bucket = F.pmod(F.xxhash64(*KEY), F.lit(KEY_BUCKETS)).alias("_bucket")
+    counted = copies.groupBy(bucket).agg(F.count("*").alias("_n"))
+    hot = durable(counted.where(F.col("_n") > hot_copies).select("_bucket"), "hot")
+    placed = copies.select(*KEY, "seq_offset", "arr_us", "source_id", bucket)
+    usual = placed.join(hot, "_bucket", "left_anti")
+    crowded = placed.join(hot, "_bucket", "left_semi")
+    return _gathered_records(usual, expected_sources).unionByName(_spread_records(crowded, expected_sources))
+
+
 def _by_lag(params: ArbitrationParams, value: str) -> Column:
     picked = F.col(f"{value}_after_{params.lag}")
     for stream, lag in params.lag_by_stream.items():

@@ -13,12 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Shuffled bytes that a task takes.  Rows of a feed are shuffled in some 15 bytes each, compressed,
 #: and take several hundred in a hash table or a sort.
-TASK_BYTES = "4m"
+TASK_SIZE = 4 << 20
+TASK_BYTES = f"{TASK_SIZE >> 20}m"
 #: Bytes of a table's files that a task reads, and of a row group in tables written here: a
 #: landed copy takes some 25 of them, and several hundred in a sort.
 READ_BYTES = 8 << 20
 
+#: Bytes shuffled at once per byte of the events' file: five copies of each event, a bit over one of its rows each.
+SHUFFLE_GROWTH = 8
+_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _local_roots: dict[str, str] = {}
+#: Partitions that this module gave to an application's session.
+_given: dict[str, str] = {}
 
 
 def bounded_tasks(spark: SparkSession) -> None:
@@ -32,6 +39,24 @@ def bounded_tasks(spark: SparkSession) -> None:
             spark.conf.set(key, size)
 
 
+def enough_partitions(spark: SparkSession, input_bytes: int) -> None:
+    """Shuffles of a feed begin with as many partitions as keep tasks at ``TASK_BYTES``, unless the session has a number.
+
+    Adaptive execution joins small partitions but does not cut large ones: with a fixed number, tasks
+    grow with the feed until they spill.
+    """
+    app = spark.sparkContext.applicationId
+    own, given = spark.conf.get(_PARTITIONS, None), _given.pop(app, None)
+    if own is not None and own != given:
+        return
+    wanted = -(-input_bytes * SHUFFLE_GROWTH // TASK_SIZE)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        _given[app] = str(wanted)
+        spark.conf.set(_PARTITIONS, wanted)
+    elif own is not None:
+        spark.conf.unset(_PARTITIONS)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder for this application's tables, below ``spark.checkpoint.dir``.
 

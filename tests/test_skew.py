@@ -70,6 +70,66 @@ def test_records_keep_few_sources_per_event(spark, hot, expected):
     assert evicted.where("msg_key = 'hot' and late_copy").count() == 1
 
 
+@pytest.mark.parametrize("expected", [1, 11])
+def test_records_of_hot_events_and_others_agree(spark, hot, expected):
+    """Copies of an event were all shuffled twice, also where an event has few."""
+    rows = [*hot.itertuples(index=False, name=None)]
+    rows += [("depth", "b", "hot", None if i % 4 == 1 else f"s{i % 4 // 2}", 7 * i, i) for i in range(40)]
+    df = spark.createDataFrame(rows, COPY_SCHEMA)
+    params = ArbitrationParams(expected_sources=expected, lag=5)
+    want = {}
+    for hot_copies in (0, 500):
+        records = arbitrate.event_records(df, expected, hot_copies).collect()
+        plain = sorted(tuple(r)[:-1] for r in records)
+        # Where each event leaves, and whether a copy comes after.
+        late = sorted(
+            (r.msg_key, r.symbol, r.early[expected - 1] is not None and r.last_o > r.early[expected - 1])
+            for r in records
+        )
+        want.setdefault("plain", plain), want.setdefault("late", late)
+        assert (plain, late) == (want["plain"], want["late"])
+    by_event = df.groupBy("symbol", "msg_key").agg(F.min("seq_offset").alias("o"), F.count("*").alias("n")).collect()
+    assert {(r[2], r[0], r[4]) for r in plain} == {(r.symbol, r.msg_key, r.o) for r in by_event}
+    assert arbitrate.evictions(df, params, 64).count() == len(by_event)
+    gathered = arbitrate._gathered_records(df, expected)._jdf.queryExecution().executedPlan().toString()
+    assert gathered.count("Exchange hashpartitioning") == 1
+
+
+def test_landed_rows_are_written_once(spark, monkeypatch):
+    from feedarb.plans import storage
+    from feedarb.sources import landing
+
+    written = []
+    write = storage.write_table
+    monkeypatch.setattr(landing, "write_table", lambda df, label: written.append(df.count()) or write(df, label))
+    rows = [("trade", f"s{i % 3}", 100 - i, i) for i in range(90)]
+    df = spark.createDataFrame(rows, "stream_type string, symbol string, arr_us bigint, event_id bigint")
+    landed = land_with_offsets(df, ("arr_us", "event_id"))
+    assert landed.columns == ["stream_type", "symbol", "arr_us", "event_id", "seq_offset"]
+    for i in range(3):
+        mine = landed.where(f"symbol = 's{i}'").orderBy("arr_us").collect()
+        assert [r.seq_offset for r in mine] == list(range(30))
+    assert sum(n == 90 for n in written) == 1
+
+
+def test_partitions_grow_with_the_feed(spark):
+    """With a fixed number of partitions a task sorted a fixed part of the feed."""
+    from feedarb.plans import storage
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        storage.enough_partitions(spark, 50 << 20)
+        plan = spark.range(10).selectExpr("id % 7 as k").groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(k" in plan and ", 100)" in plan
+        storage.enough_partitions(spark, 1 << 20)
+        assert spark.conf.get(key, None) is None
+        spark.conf.set(key, "9")
+        storage.enough_partitions(spark, 50 << 20)
+        assert spark.conf.get(key) == "9"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_landing_with_one_instant(spark):
     rows = [("trade", "all", 7, i, f"v{i}") for i in range(500)] + [("depth", "b", 7, 3, "x")]
     df = spark.createDataFrame(rows, "stream_type string, symbol string, arr_us bigint, event_id bigint, v string")
