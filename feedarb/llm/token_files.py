@@ -19,18 +19,20 @@ ordered by text, null ids come first.  A document longer than a block makes a lo
 from __future__ import annotations
 
 import functools
+import os
 import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from feedarb.llm.shared import Memory, slices
+from feedarb.llm.shared import WORD_CHARS, Memory, slices
 
 BLOCK_SCHEMA = (
     "part int, block int, start long, n_tokens long, base long, doc_ids array<long>, "
@@ -40,6 +42,10 @@ BLOCK_SCHEMA = (
 BLOCK_TOKENS = 1 << 20
 #: Words that a worker remembers, at most twice as many.
 WORDS = 700_000
+#: Words whose ids are put in order at a time.
+GATHERED_WORDS = 1 << 20
+#: Letters that normalization only sets in lower case, one by one.
+_PLAIN = "^[A-Za-zªµºÀ-ÖØ-öø-ÿ]+$"
 
 
 @dataclass
@@ -129,12 +135,19 @@ def _frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     return found, np.searchsorted(ranked, found, "right") - np.searchsorted(ranked, found)
 
 
-def _last_heads(seq: np.ndarray, least: int, shift: int) -> np.ndarray | None:
-    """As :func:`_heads`, with the most frequent pairs first; None if no pair comes ``least`` times."""
+def _last_heads(seq: np.ndarray, least: int, shift: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`_heads`, with the most frequent pairs first, and all pairs that come ``least`` times.
+
+    ``ends`` has 1 for symbols that can be the left ones of such pairs, 2 for right ones, 3 for both.
+    No heads if there is no such pair.
+    """
     kind = seq.dtype.type
-    found, counts = _frequent(seq[:-1] << kind(shift) | seq[1:], least)
-    found = found[np.argsort(-counts, kind="stable")]
-    left, right = (found >> kind(shift)).tolist(), (found & kind((1 << shift) - 1)).tolist()
+    marks = np.take(ends, seq)
+    some = np.flatnonzero(marks[:-1] & 1 & marks[1:] >> 1)
+    firsts, seconds = seq[some], seq[some + 1]
+    found, counts = _frequent(firsts << kind(shift) | seconds, least)
+    ranked = found[np.argsort(-counts, kind="stable")]
+    left, right = (ranked >> kind(shift)).tolist(), (ranked & kind((1 << shift) - 1)).tolist()
     twice = _equal(seq)
     runs, counts = np.unique(seq[twice], return_counts=True)
     runs = set(runs[counts >= least].tolist())
@@ -148,13 +161,11 @@ def _last_heads(seq: np.ndarray, least: int, shift: int) -> np.ndarray | None:
         elif not (first in rights or second in lefts or first in equals or second in equals):
             lefts.add(first)
             rights.add(second)
-    if not lefts and not equals:
-        return None
-    sides = np.zeros((3, int(seq.max()) + 1), bool)
+    sides = np.zeros((3, len(ends)), bool)
     for side, symbols in zip(sides, (lefts, rights, equals)):
         side[list(symbols)] = True
-    heads = np.flatnonzero(sides[0, seq[:-1]] & sides[1, seq[1:]])
-    return np.sort(np.concatenate([heads, twice[sides[2, seq[twice]]]]))
+    heads = some[np.take(sides[0], firsts) & np.take(sides[1], seconds)]
+    return np.sort(np.concatenate([heads, twice[sides[2, seq[twice]]]])), found
 
 
 def compress(ids: np.ndarray, base: int, least: int = 8, most_rules: int | None = None) -> Grammar:
@@ -168,12 +179,19 @@ def compress(ids: np.ndarray, base: int, least: int = 8, most_rules: int | None
     kind, shift = (np.uint32, 16) if base + most_rules <= 1 << 16 else (np.uint64, 32)
     seq = ids.astype(kind)
     rules: list[np.ndarray] = []
+    sizes = np.ones(base, np.int64)
     made = turn = 0
+    ends = None
     count = max(least, len(ids) >> 9)
     while made < most_rules and len(seq) > 1:
-        heads = _heads(seq, turn) if count > least else _last_heads(seq, least, shift)
-        if heads is None:
-            break
+        if count > least:
+            heads = _heads(seq, turn)
+        else:
+            if ends is None:
+                ends = np.where(np.bincount(seq, minlength=base + made) >= least, np.uint8(3), np.uint8(0))
+            heads, found = _last_heads(seq, least, shift, ends)
+            if not len(heads):
+                break
         pairs = seq[heads] << kind(shift) | seq[heads + 1]
         chosen, counts = _frequent(pairs, count)
         if len(chosen) > most_rules - made:
@@ -182,7 +200,7 @@ def compress(ids: np.ndarray, base: int, least: int = 8, most_rules: int | None
             parts = np.stack([chosen >> kind(shift), chosen & kind((1 << shift) - 1)], axis=1)
             likely = np.zeros((2, base + made), bool)
             likely[0, parts[:, 0]] = likely[1, parts[:, 1]] = True
-            some = likely[0, seq[heads]] & likely[1, seq[heads + 1]]
+            some = np.take(likely[0], seq[heads]) & np.take(likely[1], seq[heads + 1])
             heads, pairs = heads[some], pairs[some]
             place = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
             hit = chosen[place] == pairs
@@ -192,86 +210,157 @@ def compress(ids: np.ndarray, base: int, least: int = 8, most_rules: int | None
             keep[heads + 1] = False
             seq = seq[keep]
             rules.append(parts)
+            sizes = np.concatenate([sizes, sizes[parts].sum(axis=1)])
+            if ends is not None:
+                # Pairs of older symbols only get rarer.
+                ends = np.zeros(len(sizes), np.uint8)
+                ends[found >> kind(shift)] = 1
+                ends[found & kind((1 << shift) - 1)] |= 2
+                ends[base + made :] = 3
             made += len(chosen)
         turn += 1
         if turn % 3 == 0:
             count = max(least, count >> 4)
     table = np.concatenate(rules).astype(np.int64) if rules else np.zeros((0, 2), np.int64)
-    lengths: list[int] = []
-    for pair in table.tolist():
-        lengths.append(sum(1 if symbol < base else lengths[symbol - base] for symbol in pair))
-    return Grammar(base, seq.astype(np.int64), table, np.array(lengths, np.int64))
+    return Grammar(base, seq.astype(np.int64), table, sizes[base:])
 
 
 class WordEncoder:
     """A tokenizer of the tokenizers library that drops white space, with words remembered.
 
     White space separates pieces and is dropped, so the ids of a text are those of its
-    words in order.  Words of plain Latin letters are encoded many in one call, and cut
-    apart at the tokens that end a word.
+    words in order, and only distinct words are looked up.  Words of plain Latin letters are
+    encoded many in one call, without the signs behind them, and cut apart at the tokens that
+    end a word.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max(vocabulary.values()) + 1
         self._ends = np.zeros(self.size, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        # The same merges without normalization, for words that it would leave as they are.
+        # The same merges for words that are prepared already: plain ones, in lower case, a sign for each byte.
         self._bare = Tokenizer(self.tokenizer.model)
-        self._bare.pre_tokenizer = pre_tokenizers.Sequence(
-            [
-                pre_tokenizers.WhitespaceSplit(),
-                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
-            ]
-        )
-        self._ascii = Tokenizer(self.tokenizer.model)
-        self._ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self._known = Memory(self._one, WORDS)
-
-    def _one(self, word: str) -> bytes:
-        core = word.rstrip(string.punctuation)
-        if core != word and core and _plain(core):
-            return self._known[core] + self._known[word[len(core) :]]
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        # Signs for the bytes of plain words that are not the byte itself.
+        signs = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = "".join(c for c in map(chr, range(128, 256)) if c.isalpha() and c == c.lower())
+        pairs = zip(letters.encode().decode("latin-1"), signs.pre_tokenize_str(letters)[0][0])
+        self._signs = {byte: sign for byte, sign in pairs if byte != sign}
+        self._known = WordMemory(self._by_library, WORDS)
+
+    def _by_library(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, whatever it holds."""
+        return [
+            np.array(found.ids, "<u4").tobytes()
+            for at in range(0, len(words), 256)
+            for found in self.tokenizer.encode_batch_fast(words[at : at + 256], add_special_tokens=False)
+        ]
+
+    def _in_bulk(self, words: list[str]) -> list[bytes]:
+        """Ids of each word; all are plain and in lower case."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 512):
+            some = words[at : at + 512]
+            signs = " ".join(some).encode().decode("latin-1")
+            for byte, sign in self._signs.items():
+                signs = signs.replace(byte, sign)
+            signs = [signs.split(" ")]
+            found = self._bare.encode_batch_fast(signs, is_pretokenized=True, add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            ends = (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()
+            if len(ends) == len(some):
+                data = ids.tobytes()
+                out += [data[start:end] for start, end in zip([0, *ends], ends)]
+            else:
+                out += self._by_library(some)
+        return out
+
+    def _learned(self, words: list[str]) -> list[bytes]:
+        """Ids of words not known yet."""
+        cores = pc.ascii_rtrim(pa.array(words, pa.large_string()), string.punctuation)
+        plain = pc.match_substring_regex(cores, _PLAIN).to_numpy(zero_copy_only=False)
+        out = [b""] * len(words)
+        others = np.flatnonzero(~plain).tolist()
+        for at, data in zip(others, self._by_library([words[at] for at in others])):
+            out[at] = data
+        lower = pc.utf8_lower(cores.filter(pa.array(plain))).dictionary_encode()
+        ids = self._known.of(_strings(lower.dictionary), self._in_bulk)
+        sizes = pc.utf8_length(cores).to_numpy()[plain].tolist()
+        tails: dict[str, bytes] = {"": b""}
+        for at, core, size in zip(np.flatnonzero(plain).tolist(), lower.indices.to_numpy().tolist(), sizes):
+            tail = words[at][size:]
+            if tail not in tails:
+                tails[tail] = self._by_library([tail])[0]
+            out[at] = ids[core] + tails[tail]
+        return out
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        return self._known.of(words, self._learned)
 
     def learn(self, words: set[str]) -> None:
-        """Remembers the plain words among those not known yet."""
-        known = self._known
-        cores = {w: w.rstrip(string.punctuation) for w in words if w not in known and w not in known.older}
-        fresh = [w for w in set(cores.values()) if w and w not in known and w not in known.older and _plain(w)]
-        # Bytes of ASCII letters stand for themselves.
-        ascii_only = [w for w in fresh if w.isascii()]
-        for some_of, tokenizer in ((ascii_only, self._ascii), ([w for w in fresh if not w.isascii()], self._bare)):
-            for at in range(0, len(some_of), 4096):
-                some = some_of[at : at + 4096]
-                text = " ".join(some).lower()
-                ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-                ends = (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()
-                if len(ends) == len(some):
-                    data = ids.tobytes()
-                    for word, start, end in zip(some, [0, *ends], ends):
-                        known.keep(word, data[start:end])
-        for word, core in cores.items():
-            if core != word and core in known and _plain(core):
-                known.keep(word, known[core] + known[word[len(core) :]])
+        """Remembers words, those not known yet in bulk."""
+        self._ids(list(words))
 
     def encode(self, words: list[str]) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self._known.__getitem__, words))
+        """Ids of words in order, as little-endian unsigned 32-bit integers."""
+        distinct = list(dict.fromkeys(words))
+        known = dict(zip(distinct, self._ids(distinct)))
+        return b"".join(map(known.__getitem__, words))
+
+    def encode_texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, null ones as empty, ``end_id`` behind each; and how many each has."""
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        known = self._ids(_strings(words.dictionary))
+        known.append(np.array([end_id], "<u4").tobytes())
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts, table = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(known), "<u4")
+        ends = np.cumsum(pc.list_value_length(split).to_numpy())
+        order = np.insert(words.indices.to_numpy(), ends, len(known) - 1)
+        ids, before = [table[:0]], [np.zeros(1, np.int64)]
+        for at in range(0, len(order), GATHERED_WORDS):
+            some = order[at : at + GATHERED_WORDS]
+            each = sizes[some]
+            stops = np.cumsum(each)
+            ids.append(table[np.arange(stops[-1]) + np.repeat(starts[some] - stops + each, each)])
+            before.append(before[-1][-1] + stops)
+        stops = np.concatenate(before)[ends + np.arange(1, len(ends) + 1)]
+        return np.concatenate(ids), np.diff(stops, prepend=0)
+
+
+class WordMemory(Memory):
+    """A Memory asked for many words at once; long ones pass through."""
+
+    def of(self, words: list[str], learned: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Results of distinct words, by ``learned`` of those not known."""
+        found = list(map(self.get, words))
+        lacking = [at for at, data in enumerate(found) if data is None]
+        if self.older:
+            for at in lacking:
+                found[at] = self.older.get(words[at])
+        fresh = [at for at in lacking if found[at] is None]
+        if fresh:
+            for at, data in zip(fresh, learned([words[at] for at in fresh])):
+                found[at] = data
+        if len(self) + len(lacking) > self.most:
+            self.older = dict(self)
+            self.clear()
+        self.update((words[at], found[at]) for at in lacking if len(words[at]) <= WORD_CHARS)
+        return found
+
+
+def _strings(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
 
 
 def words_of(text: str | None) -> list[str]:
     return (text or "").replace("\n", " ").split(" ")
 
 
-def _plain(word: str) -> bool:
-    """Letters that normalization only sets in lower case, one by one."""
-    return word.isalpha() and (word.isascii() or max(word) < "Ā")
-
-
 @functools.lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
@@ -284,12 +373,11 @@ def write(
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = word_encoder(tokenizer_path)
-        end = np.array([end_id], "<u4").tobytes()
         state = {"block": 0, "start": 0}
         ids, held, doc_ids, lengths, part = [], 0, [], [], 0
 
         def block() -> pa.RecordBatch:
-            flat = np.frombuffer(b"".join(ids), "<u4")
+            flat = np.concatenate(ids)
             grammar = compress(flat, own.size)
             row = {
                 "part": part, "block": state["block"], "start": state["start"], "n_tokens": len(flat),
@@ -303,20 +391,21 @@ def write(
             return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
         for batch in batches:
-            for piece in slices(batch, "text", 2 << 20):
-                texts = [words_of(t.as_py()) for t in piece.column("text")]
-                own.learn(set().union(*texts))
+            for piece in slices(batch, "text"):
+                found, sizes = own.encode_texts(piece.column("text"), end_id)
                 part = piece.column("part")[0].as_py()
-                for doc_id, words in zip(piece.column("doc_id").to_pylist(), texts):
-                    data = own.encode(words) + end
-                    ids.append(data)
+                first = done = 0
+                for doc_id, size in zip(piece.column("doc_id").to_pylist(), sizes.tolist()):
                     doc_ids.append(doc_id)
-                    lengths.append(len(data) // 4)
-                    held += lengths[-1]
+                    lengths.append(size)
+                    held += size
+                    done += size
                     if held >= block_tokens:
+                        ids.append(found[first:done])
                         yield block()
-                        ids, held, doc_ids, lengths = [], 0, [], []
-        if ids:
+                        ids, held, doc_ids, lengths, first = [], 0, [], [], done
+                ids.append(found[first:])
+        if doc_ids:
             yield block()
 
     (

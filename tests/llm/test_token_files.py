@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from feedarb.llm import token_files
@@ -33,6 +34,59 @@ def test_words_give_the_ids_of_whole_texts(library):
         assert np.frombuffer(own.encode(words), "<u4").tolist() == library(text)
 
 
+def test_texts_in_bulk_give_the_ids_of_the_library(library, monkeypatch):
+    monkeypatch.setattr(token_files, "GATHERED_WORDS", 7)
+    own = token_files.WordEncoder(PATH)
+    own._known.most = 20  # remembered words change often
+    draw = random.Random(4)
+    letters = "".join(c for c in map(chr, range(256)) if c.isalpha())
+    signs = letters + "abcS  \n\t'sé漢\U0001f60012  \r\x1c\x85.,###ſΣΟİ́e'"
+    texts = ["", None, " ", "\n\n", " ".join(letters), letters, "x" * 100 + ".", "It's, 'tis. l'Été!", "<|ENDOFTEXT|>, a<|endoftext|>."]
+    for _ in range(300):
+        text = "".join(draw.choice(signs) for _ in range(draw.randint(0, 40)))
+        texts.append(" ".join(draw.choice([w, w.upper(), w.title() + draw.choice(",.;)")]) for w in text.split(" ")))
+    column = pa.array(["not read", *texts])[1:]
+    for at in range(0, len(texts), 50):
+        ids, sizes = own.encode_texts(column[at : at + 50], 2)
+        want = [[*library(text or ""), 2] for text in texts[at : at + 50]]
+        assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+
+
+def test_a_plain_word_reaches_the_library_once():
+    own = token_files.WordEncoder(PATH)
+    asked, others, bulk, single = [], [], own._in_bulk, own._by_library
+    own._in_bulk = lambda words: asked.extend(words) or bulk(words)
+    own._by_library = lambda words: others.extend(words) or single(words)
+    own.learn({"Zörgel", "zörgel,", "ZÖRGEL", "zörgel.", "qwert"})
+    own.learn({"Qwert.", "zörgel", "QWERT,"})
+    assert sorted(asked) == ["qwert", "zörgel"]
+    assert set(others) == {",", "."}
+    long = "9" * 1000
+    assert own.encode([long, "qwert"]) == single([long])[0] + own.encode(["qwert"])
+    assert long not in own._known and "qwert" in own._known
+
+
+def test_last_turns_look_only_where_frequent_pairs_can_be(monkeypatch):
+    draw = np.random.default_rng(6)
+    ids = (3_000 * draw.random(100_000) ** 4).astype("u4")
+    turns, last_heads, frequent = [], token_files._last_heads, token_files._frequent
+
+    def watched(seq, least, shift, *ends):
+        looked = []
+        monkeypatch.setattr(token_files, "_frequent", lambda pairs, n: looked.append(len(pairs)) or frequent(pairs, n))
+        out = last_heads(seq, least, shift, *ends)
+        monkeypatch.setattr(token_files, "_frequent", frequent)
+        every, _ = frequent(seq[:-1] << seq.dtype.type(shift) | seq[1:], least)
+        turns.append((looked[0], len(seq), out[1].tolist() == every.tolist()))
+        return out
+
+    monkeypatch.setattr(token_files, "_last_heads", watched)
+    grammar = token_files.compress(ids, 3_000)
+    assert grammar.decode() == ids.astype("<u4").tobytes()
+    assert len(turns) > 4 and all(same for _, _, same in turns)
+    assert all(looked < size / 2 for looked, size, _ in turns[len(turns) // 2 :])
+
+
 @pytest.mark.parametrize("ids", [[], [5], [0] * 1000, [1, 2] * 500, [3, 3, 3, 4] * 100, list(range(9)) * 50])
 def test_grammar_round_trip(ids):
     grammar = token_files.compress(np.array(ids, "u4"), 10)
